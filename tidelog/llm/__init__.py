@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from tidelog.llm import secrets
+from tidelog.llm import jaccard, pii, quality, secrets, substrings
 
-QUERIES = {"op2_secrets": secrets.op2_secrets}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    "op2_secrets": secrets.op2_secrets,
+    "op4_quality": quality.op4_quality,
+    "op8_substring_dedup": substrings.op8_substring_dedup,
+    "op9_pii": pii.op9_pii,
+    "op10_jaccard_join": jaccard.op10_jaccard_join,
+}
+ORACLES: dict[str, str] = {"op8_substring_dedup": substrings.OP8_SQL, "op10_jaccard_join": jaccard.OP10_SQL}
