@@ -50,4 +50,4 @@ def test_packs_round_trip():
     rng = np.random.default_rng(1)
     for n in (1, 2, 5, 1000):
         h = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
-        assert (substrings._undelta(substrings._delta(h)) == h).all()
+        assert (substrings.undeltas(substrings.deltas(h)) == h).all()

@@ -8,18 +8,19 @@ one point. The join goes region by region:
   i / |A|, so a set that has none of them is at least that far from A: a document's window reaches over its
   floor(r |A|) + 1 first regions, and two points within r share a region. (Pivots taken from the documents
   would not do here: unrelated texts are all at distance near 1 from every document, so every window would
-  hold everything; the README has the figures.) Rarity is counted over all documents in a table of fixed
-  size; it sets the order only, and any order is exact.
+  hold everything; the README has the figures.) Rarity is counted over all documents, each distinct set of a
+  chunk once, in packed runs of shortened hashes; it sets the order only, and any order is exact.
 * Within a region, points of sizes that cannot be within r of any neighbour in size leave.
-* A region is then joined recursively with pivots taken from its points, found by aggregation. Distances to the
-  pivots are exact. A point within r of a pivot is linked to its nearest pivot (its Voronoi region). Links of
+* A region is then joined recursively with pivots taken from its points: first the most central one (with the
+  fewest rarer shingles before the region's own), later PIVOTS of them, found by aggregation. Distances to
+  the pivots are exact. A point within r of a pivot is linked to its nearest pivot (its Voronoi region). Links of
   such a point x to others reach only points y with r < d(y, p) <= 2 r and d(x, p) >= d(y, p) - r, by the
-  triangle inequality: those y are replicated into the pivot's region, such x stay in it, and it is joined
-  again. Points beyond r of all pivots form the far region, which is joined again. Pivots leave, so this ends.
-  Two points within r of one pivot need no comparison: they are in one class through it. A large group of
-  near copies costs one comparison each.
+  triangle inequality: such border points y are replicated into the pivot's region and compared there with
+  such x, unless both are in one class already. Points beyond r of all pivots are joined again among
+  themselves. Pivots leave, so this ends. Two points within r of one pivot need no comparison: they are in
+  one class through it. A large group of near copies costs about one comparison each.
 
-No group is gathered, no pairs within a group are made but those with its pivots. What decides is exact
+No group is gathered, and no pairs within a group are made but those with its pivots and over its borders. What decides is exact
 intersection sizes of whole sets of 64-bit shingle hashes.
 
 Defined cases. Null and empty texts, or texts with no words: the empty set, linked with nothing, their own
@@ -35,18 +36,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import arrays
+from tidelog.llm import arrays, substrings
 from tidelog.llm.components import components
 from tidelog.llm.scratch import Scratch
 
-RARITY = 1 << 18  # slots of the rarity table
-BLOCK = 1 << 12
 PIVOTS = 8  # pivots of a region in later rounds; the first round takes one
 _SHORT, _SET = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
-MEMBERS = "region long, node long, n int"
+MEMBERS = "region long, node long, n int, pos int"
+POINTS = "doc_id long, node long, n int, near array<long>"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,10 +71,6 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
     return of[new], h[new]
 
 
-def _slot(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(46)).astype(np.int64)  # the top 18 bits
-
-
 def _nodes(h: np.ndarray, n: np.ndarray) -> np.ndarray:
     """A 64-bit signature of each set, whose hashes follow one another; 0 for the empty set."""
     sums = np.concatenate([[np.uint64(0)], np.cumsum(arrays.mix(h ^ _SET), dtype=np.uint64)])
@@ -83,48 +79,75 @@ def _nodes(h: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(n > 0, out, np.uint64(0))
 
 
-def rarity(docs: DataFrame, k: int) -> np.ndarray:
-    """How many texts hold the shingles of each of RARITY slots, over all documents. The table has one megabyte."""
-
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(RARITY, np.int64)
-        for batch in batches:
-            for _, _, data, offsets in arrays.slices(batch.column(0)):
-                total += np.bincount(_slot(shingle_sets(data, offsets, k)[1]), minlength=RARITY)
-        some = np.minimum(total, (1 << 31) - 1).astype(np.int32).reshape(-1, BLOCK)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(some)), pa.int32()), pa.array([x.tobytes() for x in some], pa.binary())], ["block", "counts"])
+def _chunk_sets(table: pa.Table, k: int) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+    """Ids, the number of shingles and all shingles of a chunk's texts, text by text."""
+    ids, texts = substrings.unpacked(table)
+    sizes, found = [], []
+    for first, end, data, offsets in arrays.slices(pa.array(texts, pa.binary()).cast(pa.large_binary()).cast(pa.large_string())):
+        of, h = shingle_sets(data, offsets, k)
+        sizes.append(np.bincount(of, minlength=end - first))
+        found.append(h)
+    return ids, np.concatenate(sizes), np.concatenate(found)
+
+
+def points(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """POINTS: doc_id, node, n and the first regions (the window of its nearest pivots, rarest first) of every document."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number
+    chunks, parts = max(8, -(-size // substrings.CHUNK_BYTES)), max(8, -(-size // 6 // substrings.RANGE_HASHES))
+    cut = np.uint64(64 - min(64, max(32, int(size // 6).bit_length() + 8)))  # shortened: hardly any two shingles meet
+
+    def send(key: tuple, table: pa.Table) -> pa.Table:
+        _, n, h = _chunk_sets(table, k)
+        _, first = np.unique(_nodes(h, n), return_index=True)
+        once = np.zeros(len(n), bool)
+        once[first] = True
+        keys, times = np.unique(h[np.repeat(once, n)] >> cut, return_counts=True)
+        cuts = _part_cuts(keys, parts, cut)
+        rows = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+        times = np.minimum(times, 255).astype(np.uint8)
+        return pa.table(
+            {
+                "part": pa.array([i for i, _, _ in rows], pa.int32()),
+                "chunk": pa.array([key[0].as_py()] * len(rows), pa.int32()),
+                "hashes": pa.array([substrings.deltas(keys[a:b]) for _, a, b in rows], pa.binary()),
+                "many": pa.array([zstandard.compress(times[a:b].tobytes(), 1) for _, a, b in rows], pa.binary()),
+            }
+        )
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
-        total = np.zeros(BLOCK, np.int64)
-        for x in table["counts"]:
-            total += np.frombuffer(x.as_buffer(), np.int32)
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
-
-    parts = docs.select("text").mapInArrow(tally, "block int, counts binary").groupBy("block").applyInArrow(add, "block int, counts binary").toArrow()
-    out = np.zeros((RARITY // BLOCK, BLOCK), np.int64)
-    for block, counts in zip(parts["block"].to_pylist(), parts["counts"].to_pylist(), strict=True):
-        out[block] = np.frombuffer(counts, np.int64)
-    return out.ravel()
-
-
-def points(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """doc_id, node, n and the first regions (the window of its nearest pivots) of every document."""
-    level = np.minimum(63, 4 * np.log2(np.maximum(counts, 1))).astype(np.uint64)  # 64 levels of rarity
-    sent = docs.sparkSession.sparkContext.broadcast(level.astype(np.uint8))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, end, data, offsets in arrays.slices(batch.column("text")):
-                of, h = shingle_sets(data, offsets, k)
-                n = np.bincount(of, minlength=end - first)
-                order = np.lexsort(((sent.value[_slot(h)].astype(np.uint64) << np.uint64(58)) | (h >> np.uint64(6)), of))
-                rank = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
-                window = np.where(n > 0, n * (100 - percent) // 100 + 1, 0)
-                near = h[order][rank < np.repeat(window, n)]
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(window)]), pa.int32()), pa.array(arrays.signed(near), pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, end - first), pa.array(arrays.signed(_nodes(h, n))), pa.array(n, pa.int32()), lists], ["doc_id", "node", "n", "near"])
-
-    return docs.mapInArrow(run, "doc_id long, node long, n int, near array<long>")
+        lists = [substrings.undeltas(x) for x in table["hashes"].to_pylist()]
+        times = np.concatenate([np.frombuffer(zstandard.decompress(x), np.uint8) for x in table["many"].to_pylist()])
+        _, place = np.unique(np.concatenate(lists), return_inverse=True)
+        total = np.minimum(np.bincount(place, weights=times)[place], 255).astype(np.uint8)
+        ends = np.cumsum([len(x) for x in lists])
+        bits = [zstandard.compress(x.tobytes(), 1) for x in np.split(total, ends[:-1])]
+        return pa.table({"chunk": table["chunk"], "part": pa.array([key[0].as_py()] * len(lists), pa.int32()), "bits": pa.array(bits, pa.binary())})
+
+    def place(_: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
+        schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("near", pa.list_(pa.int64()))])
+        if not len(table):
+            return schema.empty_table()
+        ids, n, h = _chunk_sets(table, k)
+        keys, where = np.unique(h >> cut, return_inverse=True)
+        cuts, level = _part_cuts(keys, parts, cut), np.zeros(len(keys), np.uint8)
+        for part, bits in zip(told["part"].to_pylist(), told["bits"].to_pylist(), strict=True):
+            level[cuts[part] : cuts[part + 1]] = np.frombuffer(zstandard.decompress(bits), np.uint8)
+        of = np.repeat(np.arange(len(n)), n)
+        order = np.lexsort(((level[where].astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8)), of)) if len(h) else np.zeros(0, int)
+        rank = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+        window = np.where(n > 0, n * (100 - percent) // 100 + 1, 0)
+        near = h[order][rank < np.repeat(window, n)]
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(window)]), pa.int32()), pa.array(arrays.signed(near), pa.int64()))
+        return pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(arrays.signed(_nodes(h, n))), pa.array(n, pa.int32()), lists], schema=schema)
+
+    dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
+    packed = dealt.mapInArrow(substrings.pack, substrings.PACKED)
+    told = packed.groupBy("chunk").applyInArrow(send, substrings.SENT).groupBy("part").applyInArrow(add, substrings.BITS)
+    return packed.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(place, POINTS)
+
+
+def _part_cuts(ascending: np.ndarray, parts: int, cut: np.uint64) -> np.ndarray:
+    return substrings.cuts_of(ascending, parts, 64 - int(cut))
 
 
 def crowded(members: DataFrame, percent: int) -> DataFrame:
@@ -134,29 +157,28 @@ def crowded(members: DataFrame, percent: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[np.ndarray, ...] | None = None  # the last row
-        tail = [pa.RecordBatch.from_pydict({"region": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "n": pa.array([], pa.int32())})]
-        last = None  # whether that row goes on with a run, and the run's key
+        names = ["region", "node", "n", "pos"]
+        tail = [pa.RecordBatch.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32())], names)]
+        held = last = None  # the last row; whether it goes on with a run of its left neighbour, and the run's key
         for batch in _then(batches, tail):
             final = batch is tail[0]
-            region, node, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("region", "node", "n"))
+            row = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
             if held is not None:
-                region, node, n = (np.concatenate([a, b]) for a, b in zip(held, (region, node, n), strict=True))
+                row = [np.concatenate([x, y]) for x, y in zip(held, row, strict=True)]
+            region, node, n, pos = row
             if not len(region):
                 continue
             close = (region[1:] == region[:-1]) & (100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64))
             left = np.concatenate([[last[0] if last else False], close])
             right = np.concatenate([close, [False]])
-            at = np.arange(len(region))
-            begin = np.maximum.accumulate(np.where(left, 0, at))
-            run_key = arrays.mix(region.view(np.uint64) + arrays.BASE * n[begin].astype(np.uint64)).view(np.int64)
-            if last and last[0]:  # the held row goes on with a run that began before
+            begin = np.maximum.accumulate(np.where(left, 0, np.arange(len(region))))
+            run_key = arrays.signed(arrays.mix(region.view(np.uint64) + arrays.BASE * n[begin].astype(np.uint64)))
+            if last and last[0]:  # the held row's run began before this batch
                 run_key[begin == 0] = last[1]
             upto = len(region) if final else len(region) - 1
             keep = (left | right)[:upto]
-            yield pa.RecordBatch.from_arrays([pa.array(run_key[:upto][keep]), pa.array(node[:upto][keep]), pa.array(n[:upto][keep], pa.int32())], ["region", "node", "n"])
-            held = (region[-1:], node[-1:], n[-1:])
-            last = (bool(left[-1]), int(run_key[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(x[:upto][keep]) for x in (run_key, node, n, pos)], names)
+            held, last = [x[-1:] for x in row], (bool(left[-1]), int(run_key[-1]))
 
     return members.repartition("region").sortWithinPartitions("region", "n", "node").mapInArrow(run, MEMBERS)
 
@@ -214,39 +236,58 @@ def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_y.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, d double, linked boolean")
 
 
+def _possible(percent: int, n: str, pos: str, m: str, at: str) -> Column:
+    """Whether two members of a region can be within the radius: by sizes, and if the region's shingle is the first that both have.
+
+    A linked pair shares the region of its first common shingle, and passes there.
+    """
+    n, pos, m, at = (F.col(x) for x in (n, pos, m, at))
+    least = F.ceil(F.lit(percent) * (n + m) / (100 + percent))  # of the intersection
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(n - pos, m - at) >= least)
+
+
 def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame | None:
-    """Links (a, b) that join every class, by recursive pivot regions over members (region, node, n)."""
-    radius = 1 - percent / 100
-    found, active, turn = [], members, 0
+    """Links (a, b) that join every class, by recursive pivot regions over MEMBERS rows."""
+    radius, slack = 1 - percent / 100, 1e-9
+    found: list[DataFrame] = []
+    active, turn = members, 0
+
+    def measured(pairs: DataFrame) -> DataFrame:
+        known = scratch.save(distances(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), sets, percent), "distances")
+        found.append(known.where("linked").select("a", "b"))
+        return known
+
     while not active.isEmpty():
         split = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(PIVOTS if turn else 1))
-        pivots = active.groupBy("region", split.alias("salt")).agg(F.min("node").alias("pivot"), F.min_by("n", "node").alias("pivot_n")).drop("salt")
+        pivots = active.groupBy("region", split.alias("salt")).agg(F.min(F.struct("pos", "node", "n")).alias("p")).select("region", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos"))
         near = active.join(pivots, "region")
-        bound = F.lit(1.0) - F.least("n", "pivot_n") / F.greatest("n", "pivot_n")  # a lower bound of the distance
-        near = near.withColumn("bound", bound).withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot"))
-        asked = (F.col("a") != F.col("b")) & (100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n"))
-        known = scratch.save(distances(near.where(asked).select("a", "b").distinct(), sets, percent), "distances")
-        found.append(known.where("linked").select("a", "b"))
-        told = near.join(known, ["a", "b"], "left").withColumn("d", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.coalesce("d", "bound")))
-        told = told.select("region", "node", "n", "pivot", "d", (F.coalesce("linked", F.lit(False)) | (F.col("a") == F.col("b"))).alias("linked"))
+        known = measured(near.where((F.col("node") != F.col("pivot")) & _possible(percent, "n", "pos", "pivot_n", "pivot_pos")).select(F.col("node").alias("x"), F.col("pivot").alias("y")))
+        bound = F.lit(1.0) - F.least("n", "pivot_n") / F.greatest("n", "pivot_n")  # a lower bound of the distance where it was not measured
+        own = F.col("node") == F.col("pivot")
+        told = near.withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot")).join(known, ["a", "b"], "left")
+        told = told.select("region", "node", "n", "pos", "pivot", F.when(own, 0.0).otherwise(F.coalesce("d", bound)).alias("d"), (own | F.coalesce("linked", F.lit(False))).alias("linked"))
         told = scratch.save(told, "regions")
-        best = told.groupBy("region", "node").agg(F.max(F.col("node") == F.col("pivot")).alias("is_pivot"), F.max("linked").alias("linked"), F.min_by("pivot", F.struct(~F.col("linked"), "d", "pivot")).alias("owner"), F.min("n").alias("n"))
-        rest = best.where("not is_pivot")
-        far = rest.where("not linked").select(F.xxhash64("region", F.lit("far"), F.lit(turn)).alias("region"), "node", "n")
-        ball = F.xxhash64("region", "pivot", F.lit(turn)).alias("region")
-        slack = 1e-9
-        border = told.where(~F.col("linked") & (F.col("d") <= 2 * radius + slack) & (F.col("node") != F.col("pivot")))
-        reach = border.groupBy("region", "pivot").agg(F.min("d").alias("least"))
-        border = border.join(rest.select("region", "node"), ["region", "node"], "left_semi")
-        inner = told.where("linked and node <> pivot").join(rest.where("linked").select("region", "node", F.col("owner").alias("pivot")), ["region", "node", "pivot"], "left_semi")
-        inner = inner.join(reach, ["region", "pivot"]).where(F.col("d") >= F.col("least") - radius - slack)
-        again = far.unionByName(border.select(ball, "node", "n")).unionByName(inner.select(ball, "node", "n"))
-        after = scratch.save(crowded(again.distinct(), percent), "members")
-        scratch.drop(active, told)
+        state = told.groupBy("region", "node").agg(F.max(own).alias("is_pivot"), F.max("linked").alias("linked"), F.min_by("pivot", F.struct(~F.col("linked"), "d", "pivot")).alias("owner"), F.min("n").alias("n"), F.min("pos").alias("pos"))
+        # over the borders of each pivot's Voronoi region
+        border = told.where(~F.col("linked") & (F.col("d") <= 2 * radius + slack)).select("region", "pivot", F.col("node").alias("y"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("d").alias("far"))
+        inner = told.where("linked and node <> pivot").join(state.where("linked and not is_pivot").select("region", "node", F.col("owner").alias("pivot")), ["region", "node", "pivot"], "left_semi")
+        inner = inner.select("region", "pivot", F.col("node").alias("x"), "n", "pos", "d")
+        inner = inner.join(border.select("region", "pivot").distinct(), ["region", "pivot"], "left_semi")
+        classes = components(_union(found), scratch)
+        cross = inner.join(border, ["region", "pivot"]).where((F.col("d") >= F.col("far") - radius - slack) & _possible(percent, "n", "pos", "m", "at")).select("x", "y").distinct()
+        for side in ("x", "y"):
+            cross = cross.join(classes.select(F.col("node").alias(side), F.col("component").alias(f"{side}_class")), side, "left")
+        measured(cross.where(F.coalesce("x_class", "x") != F.coalesce("y_class", "y")))
+        after = scratch.save(crowded(state.where("not is_pivot and not linked").select("region", "node", "n", "pos"), percent), "members")
+        scratch.drop(active, told, classes)
         active, turn = after, turn + 1
-    out = None
-    for x in found:
-        out = x if out is None else out.unionByName(x)
+    return _union(found) if found else None
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for x in tables[1:]:
+        out = out.unionByName(x)
     return out
 
 
@@ -255,12 +296,14 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id",
     spark = docs.sparkSession
     scratch = Scratch(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    table = scratch.save(points(rows, k, percent, rarity(rows, k)), "points")
+    table = scratch.save(points(rows, k, percent), "points")
+    scratch.release()
     nodes = table.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("near").alias("near"))
-    members = scratch.save(crowded(nodes.select(F.explode("near").alias("region"), "node", "n"), percent), "members")
+    members = scratch.save(crowded(nodes.select("node", "n", F.posexplode("near").alias("pos", "region")), percent), "members")
     named = table.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = named.join(members.select("node").distinct(), "node", "left_semi")
     sets = scratch.save(whole_sets(rows, wanted, k), "sets")
+    scratch.release()
     found = links(members, sets, percent, scratch)
     scratch.drop(sets)
     out = table.select("doc_id", "node", F.col("n").cast("long").alias("n_shingles")).join(named.select("node", F.col("doc_id").alias("first")), "node", "left")

@@ -6,6 +6,7 @@ driver's JVM ends.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -48,3 +49,8 @@ class Scratch:
             if path := self.paths.pop(id(df), None):
                 hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
                 hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+    def release(self) -> None:
+        """Lets the shuffle files of plans that are done with go now, not when the driver next collects its garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()

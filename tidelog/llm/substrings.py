@@ -52,7 +52,7 @@ def _window_hashes(texts: list[bytes], k: int) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
-def _unpack(table: pa.Table) -> tuple[list[int | None], list[bytes]]:
+def unpacked(table: pa.Table) -> tuple[list[int | None], list[bytes]]:
     un = zstandard.ZstdDecompressor()
     table = table.sort_by([("doc_id", "ascending"), ("packed", "ascending")])
     return table["doc_id"].to_pylist(), [un.decompress(x) if x else b"" for x in table["packed"].to_pylist()]
@@ -70,15 +70,15 @@ def send(k: int, parts: int):
     """The distinct window hashes of one chunk, by range, ascending, with a bit for those it has more than once."""
 
     def one(key: tuple, table: pa.Table) -> pa.Table:
-        hashes, counts = np.unique(_window_hashes(_unpack(table)[1], k), return_counts=True)
-        cuts = _cuts(hashes, parts)
+        hashes, counts = np.unique(_window_hashes(unpacked(table)[1], k), return_counts=True)
+        cuts = cuts_of(hashes, parts)
         rows = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
         chunk = key[0].as_py()
         return pa.table(
             {
                 "part": pa.array([i for i, _, _ in rows], pa.int32()),
                 "chunk": pa.array([chunk] * len(rows), pa.int32()),
-                "hashes": pa.array([_delta(hashes[a:b]) for _, a, b in rows], pa.binary()),
+                "hashes": pa.array([deltas(hashes[a:b]) for _, a, b in rows], pa.binary()),
                 "many": pa.array([np.packbits(counts[a:b] > 1).tobytes() for _, a, b in rows], pa.binary()),
             }
         )
@@ -86,12 +86,12 @@ def send(k: int, parts: int):
     return one
 
 
-def _cuts(ascending: np.ndarray, parts: int) -> np.ndarray:
-    """Where each of the equal ranges of the hash space begins in ascending hashes, and their end."""
-    return np.append(np.searchsorted(ascending, np.array([(i << 64) // parts for i in range(parts)], np.uint64)), len(ascending))
+def cuts_of(ascending: np.ndarray, parts: int, bits: int = 64) -> np.ndarray:
+    """Where each of the equal ranges of a hash space of so many bits begins in ascending hashes, and their end."""
+    return np.append(np.searchsorted(ascending, np.array([(i << bits) // parts for i in range(parts)], np.uint64)), len(ascending))
 
 
-def _delta(ascending: np.ndarray) -> bytes:
+def deltas(ascending: np.ndarray) -> bytes:
     """Gaps of ascending hashes, cut to the bytes that the widest gap needs, after a byte that tells how many."""
     gaps = np.empty_like(ascending)
     gaps[0] = ascending[0]
@@ -101,7 +101,7 @@ def _delta(ascending: np.ndarray) -> bytes:
     return bytes([width]) + head + rest.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def _undelta(data: bytes) -> np.ndarray:
+def undeltas(data: bytes) -> np.ndarray:
     width, body = data[0], np.frombuffer(data, np.uint8, offset=9)
     n = len(body) // width if width else 0
     gaps = np.zeros((n + 1, 8), np.uint8)
@@ -113,7 +113,7 @@ def _undelta(data: bytes) -> np.ndarray:
 def judge(key: tuple, table: pa.Table) -> pa.Table:
     """For one range: which entries of each chunk repeat, there or in another chunk."""
     chunks, packs, many = (table[c].to_pylist() for c in ("chunk", "hashes", "many"))
-    lists = [_undelta(x) for x in packs]
+    lists = [undeltas(x) for x in packs]
     flat = np.concatenate(lists)
     order = np.argsort(flat, kind="stable")
     ordered = flat[order]
@@ -135,10 +135,10 @@ def cut(k: int, parts: int):
     def one(_: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
         if not len(table):
             return pa.table({n: [] for n in ("doc_id", "n_words", "n_removed", "kept_sha256", "intervals")}, schema=_RESULT)
-        ids, texts = _unpack(table)
+        ids, texts = unpacked(table)
         hashes = _window_hashes(texts, k)
         distinct, place = np.unique(hashes, return_inverse=True)
-        cuts = _cuts(distinct, parts)
+        cuts = cuts_of(distinct, parts)
         repeated = np.zeros(len(distinct), bool)
         for part, bits in zip(told["part"].to_pylist(), told["bits"].to_pylist(), strict=True):
             a, b = cuts[part], cuts[part + 1]
