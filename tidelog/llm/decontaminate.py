@@ -13,8 +13,8 @@ shingle multisets, which decides at THRESHOLD.
 
 Windows of one length are rolled with prefix sums of per-bit votes over a document's stretches only.
 
-The items travel to the tasks where their text is below ITEM_BYTES in all (checked); larger benchmarks are
-handled in portions of that size, one pass over the documents each.
+The items travel to the tasks in portions of about ITEM_BYTES of text (their size is checked first); a larger
+benchmark takes one pass over the documents for each portion.
 
 Defined cases. Null or empty texts on either side: no match. Items of fewer than K words: one shingle, all
 their words. Empty benchmark or documents: no rows. Repeated document rows: each matches; repeated items each
@@ -178,17 +178,42 @@ def search(items: Items, data: np.ndarray, offsets: np.ndarray) -> Iterator[tupl
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """FOUND rows: the best matching window of every document and item that match."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    portions = -(-size // ITEM_BYTES) or 1
     out = None
-    for portion in range(portions):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(portions)) == portion).toArrow().sort_by([("item_id", "ascending"), ("text", "ascending")])  # about ITEM_BYTES
-        found = _matches(rows, Items(own["item_id"].to_pylist(), own["text"].to_pylist()))
+    for items in portions(benchmark):
+        found = _matches(rows, items)
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def portions(benchmark: DataFrame) -> Iterator[Items]:
+    """The items, in portions of about ITEM_BYTES; one portion at least."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = -(-size // ITEM_BYTES) or 1
+    for portion in range(count):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == portion).toArrow().sort_by([("item_id", "ascending"), ("text", "ascending")])
+        yield Items(own["item_id"].to_pylist(), own["text"].to_pylist())
+
+
+def without_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows of docs, all columns, in which no item matches. A row is judged where it lies; nothing is shuffled."""
+    at, columns, width = docs.columns.index(text_col), docs.columns, len(docs.columns)
+    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields))
+    rows = docs.toDF(*(f"c{i}" for i in range(width)))  # names may clash
+    for items in portions(benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast(items)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean = np.ones(batch.num_rows, bool)
+                for first, _, data, offsets in arrays.slices(batch.column(at)):
+                    clean[[first + x[0] for x in search(sent.value, data, offsets)]] = False
+                yield batch.filter(pa.array(clean))
+
+        rows = rows.mapInArrow(run, schema)
+    return rows.toDF(*columns)
+
+
 def _matches(rows: DataFrame, items: Items) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(items)
 

@@ -93,18 +93,18 @@ def disclosing(rows: DataFrame, near: DataFrame, alpha: float = ALPHA, support:
     return scored.where(pmi >= alpha * F.log(F.col("n") / F.col("n_c"))).select("term", "entity")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
-    """doc_id, text, base (spans), found (base and term spans) for every row of docs."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("mark", F.xxhash64("text"))
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, support: int = SUPPORT, carry: Column | None = None) -> DataFrame:
+    """doc_id, text, base (spans), found (base and term spans) and carry (a column to take along) for every row of docs."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), (F.lit(None) if carry is None else carry).alias("carry")).withColumn("mark", F.xxhash64("text"))
     based = rows.withColumn("base", base_spans(F.col("text")))
-    near = mentions(based)
+    near = mentions(based.drop("carry"))
     pairs = disclosing(rows, near, alpha, support)
     added = near.join(pairs, ["term", "entity"]).groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", F.lit(4).alias("rank"), "end", F.lit("term").alias("kind"), "value")).alias("more"))
     added = added.select(F.col("doc_id").alias("added_id"), F.col("mark").alias("added_mark"), "more")
     joined = based.join(added, F.col("doc_id").eqNullSafe(F.col("added_id")) & (F.col("mark") == F.col("added_mark")), "left")
     inside = lambda s: F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     more = F.filter(F.coalesce(F.col("more").cast(SPAN), no_spans()), lambda s: ~inside(s))
-    return joined.select("doc_id", "text", "base", F.concat("base", more).alias("found"))
+    return joined.select("doc_id", "text", "base", F.concat("base", more).alias("found"), "carry")
 
 
 def shape(value: Column) -> Column:
