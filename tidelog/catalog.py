@@ -1,4 +1,4 @@
-"""The registry of queries over the test tables, each with an independent DuckDB twin."""
+"""The registry of queries over the test tables, each with a DuckDB twin written by hand."""
 
 from __future__ import annotations
 
@@ -7,11 +7,425 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions import rowkey
+from tidelog.functions.predicates import Compare, In, snake_case_column
+from tidelog.operators import cdc, membership
+from tidelog.plans import algebra
+from tidelog.plans.coverage import Cursor, Entry, Query, compute_missing, predicate_key
+from tidelog.plans.subset import answer, project, subset, where
+from tidelog.sources.changelog import event_data, events_changelog
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def query(oracle: str | None):
+    """Registers a function (spark, tables) under its name. tables(name) reads a table."""
+
+    def add(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(spark, lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+        run.__name__, run.__doc__ = f.__name__, f.__doc__
+        QUERIES[f.__name__] = run
+        if oracle is not None:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Open orders, dearest first."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return orders.where(F.col("o_orderstatus") == "O").orderBy(F.col("o_totalprice").desc_nulls_first(), "o_orderkey").limit(20)
+    return QUERIES["topk_orders"](spark, sf_dir)
+
+
+ORDER_COLUMNS = ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice"]
+ORDER_SQL = "o_orderkey, o_orderstatus, o_orderpriority, o_totalprice"
+PRICE = "o_totalprice"
+
+
+def orders(t, p=None) -> DataFrame:
+    return where(t("orders"), p).select(*ORDER_COLUMNS)
+
+
+# --- filters and projections
+
+
+@query(f"SELECT {ORDER_SQL} FROM orders WHERE o_totalprice >= 200000 AND o_orderstatus = 'O'")
+def filter_compare(spark, t):
+    return orders(t, Compare(PRICE, ">=", 200_000) & Compare("o_orderstatus", "=", "O"))
+
+
+@query(f"SELECT {ORDER_SQL} FROM orders WHERE o_orderpriority IN ('1-URGENT', '5-LOW', '2-HIGH')")
+def filter_in(spark, t):
+    return orders(t, In("o_orderpriority", ("1-URGENT", "5-LOW", "2-HIGH")))
+
+
+@query(f"SELECT {ORDER_SQL} FROM orders WHERE NOT (o_orderstatus = 'F' OR (o_totalprice < 100000 AND o_orderpriority <> '1-URGENT'))")
+def filter_or_not(spark, t):
+    return orders(t, ~(Compare("o_orderstatus", "=", "F") | (Compare(PRICE, "<", 100_000) & ~Compare("o_orderpriority", "=", "1-URGENT"))))
+
+
+def nulled():
+    """The events' value, null in every seventh row."""
+    return F.when(F.col("event_id") % 7 != 0, F.round("value", 4))
+
+
+NULLED_SQL = "CASE WHEN event_id % 7 <> 0 THEN round(value, 4) END"
+
+
+@query(f"SELECT event_id, v FROM (SELECT event_id, {NULLED_SQL} AS v FROM events) WHERE v IS NULL OR v > 50")
+def filter_is_null(spark, t):
+    rows = t("events").select("event_id", nulled().alias("v"))
+    return where(rows, Compare("v", "=", None) | Compare("v", ">", 50))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'")
+def project_filter(spark, t):
+    return project(where(t("orders"), Compare("o_orderstatus", "=", "P")), ["o_totalprice", "o_orderkey"])
+
+
+@query("SELECT * FROM (VALUES ('camelCase', 'camel_case'), ('fooID2Bar', 'foo_id2_bar'), ('HTTPServer', 'http_server'), ('plain', 'plain'), ('dateTimeValue', 'datetime_value'), ('startDateTime', 'start_datetime'), ('a1B', 'a1_b')) x(name, snake)")
+def snake_case_columns(spark, t):
+    names = spark.createDataFrame([(x,) for x in ("camelCase", "fooID2Bar", "HTTPServer", "plain", "dateTimeValue", "startDateTime", "a1B")], "name string")
+    return names.select("name", snake_case_column(F.col("name")).alias("snake"))
+
+
+# --- order, limit, pages
+
+
+@query(f"SELECT {ORDER_SQL} FROM orders WHERE o_orderstatus = 'O' ORDER BY o_totalprice DESC NULLS FIRST, o_orderkey ASC NULLS LAST LIMIT 25")
+def topk_orders(spark, t):
+    return subset(orders(t), Query(Compare("o_orderstatus", "=", "O"), ((PRICE, False),), 25), key=("o_orderkey",))
+
+
+@query("""
+(SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error' AND user_id = 40)
+UNION ALL (SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error' AND user_id > 40 ORDER BY user_id ASC NULLS LAST, event_id ASC NULLS LAST LIMIT 30)
+""")
+def keyset_page_ties(spark, t):
+    cursor = Cursor(Compare("user_id", ">", 40), Compare("user_id", "=", 40))
+    q = Query(~Compare("event_type", "=", "error"), (("user_id", True),), 30, cursor)
+    return subset(t("events").select("event_id", "user_id", "event_type"), q, key=("event_id",))
+
+
+@query(f"SELECT event_id, v FROM (SELECT event_id, {NULLED_SQL} AS v FROM events) ORDER BY v ASC NULLS LAST, event_id LIMIT 40")
+def topk_nulls_last(spark, t):
+    return subset(t("events").select("event_id", nulled().alias("v")), Query(None, (("v", True),), 40), key=("event_id",))
+
+
+# --- coverage
+
+
+@query(f"SELECT {ORDER_SQL} FROM orders WHERE o_totalprice > 100000 AND NOT (o_totalprice > 250000)")
+def coverage_remainder_range(spark, t):
+    return orders(t, algebra.minus(Compare(PRICE, ">", 100_000), Compare(PRICE, ">", 250_000)))
+
+
+@query(f"SELECT {ORDER_SQL} FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW') AND o_orderpriority NOT IN ('2-HIGH', '3-MEDIUM')")
+def coverage_remainder_in(spark, t):
+    return orders(t, algebra.minus(In("o_orderpriority", ("1-URGENT", "2-HIGH", "5-LOW")), In("o_orderpriority", ("2-HIGH", "3-MEDIUM"))))
+
+
+@query(f"SELECT {ORDER_SQL} FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 100000 AND (o_orderstatus = 'O' AND o_totalprice > 300000) IS NOT TRUE")
+def coverage_remainder_common(spark, t):
+    open_ = Compare("o_orderstatus", "=", "O")
+    return orders(t, algebra.minus(open_ & Compare(PRICE, ">", 100_000), open_ & Compare(PRICE, ">", 300_000)))
+
+
+@query(f"SELECT event_id, user_id, v FROM (SELECT event_id, user_id, {NULLED_SQL} AS v FROM events) WHERE user_id < 60 AND (v > 20) IS NOT TRUE")
+def coverage_remainder_null_safe(spark, t):
+    rows = t("events").select("event_id", "user_id", nulled().alias("v"))
+    return where(rows, algebra.minus(Compare("user_id", "<", 60), Compare("user_id", "<", 60) & Compare("v", ">", 20)))
+
+
+@query(f"SELECT {ORDER_SQL} FROM orders WHERE o_totalprice > 100000 AND o_orderstatus <> 'P'")
+def coverage_union(spark, t):
+    """A request answered from what is local and the remainder."""
+    fetched = [Compare(PRICE, ">", 280_000), Compare("o_orderstatus", "=", "F")]
+    q = Query(Compare(PRICE, ">", 100_000) & ~Compare("o_orderstatus", "=", "P"))
+    plan = compute_missing(q, [Entry("orders", predicate_key(p), p) for p in fetched])
+    return answer(orders(t, algebra.union(fetched)), orders(t), q, plan)
+
+
+@query("SELECT o_orderpriority, min(o_totalprice) AS low, max(o_totalprice) AS high, count(*)::BIGINT AS n, CASE WHEN count(*) > 0 THEN 'present' ELSE 'absent' END AS outcome FROM orders WHERE o_orderstatus = 'O' GROUP BY 1")
+def coverage_plan_stats(spark, t):
+    rows = where(t("orders"), Compare("o_orderstatus", "=", "O"))
+    return rows.groupBy("o_orderpriority").agg(F.min(PRICE).alias("low"), F.max(PRICE).alias("high"), F.count("*").alias("n"), F.when(F.count("*") > 0, "present").otherwise("absent").alias("outcome"))
+
+
+# --- change log
+
+CL = f"""(SELECT event_id AS "offset", user_id AS key, 100 + event_id // 5 AS txid,
+  CASE event_type WHEN 'signup' THEN 'insert' WHEN 'error' THEN 'delete' ELSE 'update' END AS op,
+  event_type <> 'click' AS has_v, event_type <> 'view' AS has_k, {NULLED_SQL} AS v, CAST(props->>'$.k' AS BIGINT) AS k,
+  event_id // 200 AS batch_id, CASE WHEN event_id % 1777 = 1776 THEN 'must_refetch' WHEN event_id % 200 = 199 THEN 'up_to_date' END AS control,
+  CASE WHEN event_id % 11 <> 0 THEN props ELSE '' END AS payload FROM events)"""
+
+
+def log(t) -> DataFrame:
+    return events_changelog(t("events"))
+
+
+LWW = f"""SELECT key, "offset", op, v, k FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) AS r FROM {CL}) WHERE r = 1 AND op <> 'delete'"""
+
+
+@query(LWW)
+def cdc_lww(spark, t):
+    return cdc.current_rows(log(t).select("key", "offset", "op", "v", "k"))
+
+
+@query(f"""
+WITH l AS (SELECT *, max("offset") FILTER (WHERE op = 'delete') OVER (PARTITION BY key) AS ended FROM {CL}),
+a AS (SELECT *, min("offset") FILTER (WHERE op = 'insert') OVER (PARTITION BY key) AS begun FROM l WHERE ended IS NULL OR "offset" > ended),
+rows AS (SELECT * FROM a WHERE "offset" >= begun),
+lv AS (SELECT key, v FROM (SELECT key, v, row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) AS r FROM rows WHERE has_v) WHERE r = 1),
+lk AS (SELECT key, k FROM (SELECT key, k, row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) AS r FROM rows WHERE has_k) WHERE r = 1)
+SELECT key, v, k, "offset" FROM (SELECT key, max("offset") AS "offset" FROM rows GROUP BY key) LEFT JOIN lv USING (key) LEFT JOIN lk USING (key)
+""")
+def cdc_partial_merge(spark, t):
+    return cdc.partial_rows(log(t), {"v": "has_v", "k": "has_k"})
+
+
+MISSING = f"""SELECT DISTINCT key FROM (SELECT key, op, last_value(CASE WHEN op IN ('insert', 'delete') THEN op END IGNORE NULLS) OVER (PARTITION BY key ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS life FROM {CL}) WHERE op = 'update' AND life IS DISTINCT FROM 'insert'"""
+
+
+@query(MISSING)
+def cdc_missing_keys(spark, t):
+    return cdc.missing_updates(log(t))
+
+
+@query(f"SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE EXISTS (SELECT 1 FROM ({MISSING}) m WHERE m.key = c_custkey)")
+def cdc_hydrate(spark, t):
+    return cdc.hydrate(t("customer").select("c_custkey", "c_name", "c_mktsegment"), cdc.missing_updates(log(t)), "c_custkey")
+
+
+SNAPSHOTS = [("s1", "120", "600", ["150", "151"]), ("s2", "300", "900", []), ("s3", "x", "700", ["400"])]
+SNAPSHOT_SQL = "(VALUES ('s1', '120', '600', ['150', '151']), ('s2', '300', '900', []), ('s3', 'x', '700', ['400'])) s(snapshot_id, xmin, xmax, xip)"
+VISIBLE_SQL = "CASE WHEN TRY_CAST(xmin AS BIGINT) IS NULL OR TRY_CAST(xmax AS BIGINT) IS NULL THEN FALSE WHEN txid < TRY_CAST(xmin AS BIGINT) THEN TRUE WHEN txid >= TRY_CAST(xmax AS BIGINT) THEN FALSE ELSE NOT list_contains(xip, CAST(txid AS VARCHAR)) END"
+
+
+def snapshots(spark) -> DataFrame:
+    return spark.createDataFrame(SNAPSHOTS, "snapshot_id string, xmin string, xmax string, xip array<string>")
+
+
+@query(f'SELECT snapshot_id, "offset", {VISIBLE_SQL} AS visible FROM {CL} l, {SNAPSHOT_SQL} WHERE txid % 50 < 3')
+def snapshot_visibility(spark, t):
+    changes = log(t).where("txid % 50 < 3").select("offset", "txid")
+    array = F.array(*(F.struct(F.lit(i).alias("snapshot_id"), F.lit(a).alias("xmin"), F.lit(b).alias("xmax"), F.array(*map(F.lit, x)).cast("array<string>").alias("xip")) for i, a, b, x in SNAPSHOTS))
+    rows = changes.select("offset", "txid", F.explode(array).alias("s"))
+    return rows.select("s.snapshot_id", "offset", cdc.visible(F.col("txid"), F.col("s.xmin"), F.col("s.xmax"), F.col("s.xip")).alias("visible"))
+
+
+@query(f"""
+WITH l AS (SELECT "offset", key, txid FROM {CL}), s AS (SELECT * FROM {SNAPSHOT_SQL}),
+retired AS (SELECT snapshot_id, min("offset") AS at FROM s LEFT JOIN l ON txid >= TRY_CAST(xmax AS BIGINT) GROUP BY 1)
+SELECT "offset", key, txid FROM l WHERE NOT EXISTS (SELECT 1 FROM s JOIN retired r USING (snapshot_id)
+  WHERE l.key % 3 = CAST(substr(s.snapshot_id, 2) AS INT) - 1 AND {VISIBLE_SQL} AND (r.at IS NULL OR l."offset" < r.at))
+""")
+def snapshot_dedupe_live(spark, t):
+    live = log(t).select("offset", "key", "txid", F.array("txid").alias("txids"))
+    keys = t("events").select(F.col("user_id").alias("key")).distinct()
+    tracked = keys.select(F.concat(F.lit("s"), (F.col("key") % 3 + 1).cast("string")).alias("snapshot_id"), "key")
+    return cdc.without_snapshot_overlap(live, snapshots(spark), tracked).drop("txids")
+
+
+@query(f"""SELECT "offset", batch_id, control FROM (SELECT *, max(CASE WHEN control = 'must_refetch' THEN 1 ELSE 0 END) OVER (PARTITION BY batch_id) AS reset FROM {CL}) WHERE reset = 0 OR control = 'must_refetch'""")
+def wire_reset_projection(spark, t):
+    return cdc.reset_projection(log(t).select("offset", "batch_id", "control"))
+
+
+@query(f"""SELECT batch_id, count(*)::BIGINT AS messages, count(*) FILTER (WHERE op = 'insert')::BIGINT AS inserts, count(*) FILTER (WHERE op = 'update')::BIGINT AS updates,
+  count(*) FILTER (WHERE op = 'delete')::BIGINT AS deletes, count(control)::BIGINT AS controls, sum(octet_length(encode(payload)))::BIGINT AS payload_bytes,
+  count(*) FILTER (WHERE payload = '')::BIGINT AS empty_payloads, bool_or(coalesce(control = 'must_refetch', FALSE)) AS has_reset FROM {CL} GROUP BY 1""")
+def message_stats(spark, t):
+    return cdc.message_stats(log(t))
+
+
+@query(f"""SELECT "offset", key, k FROM {CL} WHERE payload <> ''""")
+def header_only_messages(spark, t):
+    return log(t).where(F.length("payload") > 0).select("offset", "key", "k")
+
+
+@query(f"""SELECT batch_id, arg_max(h, "offset") FILTER (WHERE h IS NOT NULL) AS handle, arg_max(c, "offset") FILTER (WHERE c IS NOT NULL) AS cursor FROM
+  (SELECT batch_id, "offset", CASE WHEN "offset" % 9 = 0 THEN 'h' || ("offset" // 9) END AS h, CASE WHEN "offset" % 14 = 3 THEN 'c' || txid END AS c FROM {CL}) GROUP BY 1""")
+def resume_identity(spark, t):
+    rows = log(t).select(
+        "batch_id", "offset",
+        F.when(F.col("offset") % 9 == 0, F.concat(F.lit("h"), F.expr("offset div 9"))).alias("handle"),
+        F.when(F.col("offset") % 14 == 3, F.concat(F.lit("c"), F.col("txid"))).alias("cursor"),
+    )
+    return cdc.resume_identity(rows, "batch_id")
+
+
+@query(f"""SELECT batch_id, bool_or(coalesce(control IN ('up_to_date', 'snapshot_end', 'subset_end'), FALSE)) AS is_complete, bool_or(coalesce(control = 'up_to_date', FALSE)) AS is_up_to_date FROM {CL} GROUP BY 1""")
+def batch_completion(spark, t):
+    return log(t).groupBy("batch_id").agg(
+        F.coalesce(F.max(F.col("control").isin("up_to_date", "snapshot_end", "subset_end")), F.lit(False)).alias("is_complete"), F.coalesce(F.max(F.col("control") == "up_to_date"), F.lit(False)).alias("is_up_to_date")
+    )
+
+
+@query(f"SELECT DISTINCT key AS row_id, op, txid FROM {CL} WHERE op <> 'update'")
+def optimistic_evidence(spark, t):
+    return cdc.evidence(log(t).where("op <> 'update'").select("key", "op", F.array("txid").alias("txids")))
+
+
+@query(f"SELECT key AS row_id, op, txid FROM (SELECT DISTINCT key, op, txid FROM {CL} WHERE key < 50) p WHERE NOT EXISTS (SELECT 1 FROM {CL} s WHERE s.\"offset\" % 2 = 0 AND s.key = p.key AND s.op = p.op AND s.txid = p.txid)")
+def optimistic_retirement(spark, t):
+    pending = cdc.evidence(log(t).where("key < 50").select("key", "op", F.array("txid").alias("txids")))
+    return cdc.retire_mutations(pending, cdc.evidence(log(t).where("offset % 2 = 0").select("key", "op", F.array("txid").alias("txids"))))
+
+
+@query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'present_value' WHEN 1 THEN 'explicit_null' ELSE 'absent' END AS k_presence, 'absent' AS z_presence FROM events""")
+def field_presence(spark, t):
+    body = F.when(F.col("event_id") % 3 == 0, F.col("props")).when(F.col("event_id") % 3 == 1, '{"k":null}').otherwise('{"other":1}')
+    return cdc.field_presence(t("events").select("event_id", body.alias("value")), ["k", "z"]).drop("value")
+
+
+# --- row keys
+
+
+@query("""SELECT p_partkey, '"pub..lic"."part"/"' || p_partkey || '"/"' || replace(replace(p_name, ' ', '/'), '/', '//') || '"/_' AS row_key FROM part""")
+def row_key_encode(spark, t):
+    return t("part").select("p_partkey", rowkey.encode(F.lit("pub.lic"), F.lit("part"), [F.col("p_partkey"), F.replace(F.col("p_name"), F.lit(" "), F.lit("/")), F.lit(None)]).alias("row_key"))
+
+
+@query("""SELECT p_partkey, 'pub.lic' AS schema_name, 'part' AS table_name, CAST(p_partkey AS VARCHAR) AS pk0, replace(p_name, ' ', '/') AS pk1, CAST(NULL AS VARCHAR) AS pk2 FROM part""")
+def row_key_parse(spark, t):
+    keys = row_key_encode(spark, t).withColumn("x", rowkey.parse(F.col("row_key")))
+    return keys.select("p_partkey", F.col("x.schema").alias("schema_name"), F.col("x.table").alias("table_name"), *(F.col("x.pk")[i].alias(f"pk{i}") for i in range(3)))
+
+
+# --- membership
+
+TAGS = "[o_orderstatus || '/' || o_orderpriority, 'all/' || CAST(o_orderkey % 5 AS VARCHAR)]"
+
+
+def tagged(t) -> DataFrame:
+    tags = F.array(F.concat_ws("/", "o_orderstatus", "o_orderpriority"), F.concat(F.lit("all/"), (F.col("o_orderkey") % 5).cast("string")))
+    return t("orders").select("o_orderkey", tags.alias("tags"))
+
+
+@query(f"SELECT o_orderkey, tag, (i - 1)::INT AS pos, value FROM (SELECT o_orderkey, tag, unnest(string_split(tag, '/')) AS value, generate_subscripts(string_split(tag, '/'), 1) AS i FROM (SELECT o_orderkey, unnest({TAGS}) AS tag FROM orders)) WHERE value <> ''")
+def tag_index(spark, t):
+    return membership.tag_index(tagged(t), "o_orderkey")
+
+
+@query("SELECT o_orderkey FROM orders WHERE (o_orderstatus = 'O' OR o_orderpriority = '1-URGENT') AND o_orderkey % 5 IN (1, 2)")
+def moveout_simple(spark, t):
+    patterns = spark.createDataFrame([(0, "O"), (1, "1-URGENT"), (1, "1"), (1, "2")], "pos int, value string")
+    return membership.moved_out(tagged(t), patterns, "o_orderkey")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0 OR o_orderpriority = '1-URGENT'")
+def moveout_legacy_wildcard(spark, t):
+    tag = F.concat_ws("/", "o_orderstatus", F.when(F.col("o_orderkey") % 2 == 0, "_").otherwise(F.col("o_orderpriority")))
+    rows = t("orders").select("o_orderkey", F.array(tag).alias("tags"))
+    return membership.moved_out(rows, spark.createDataFrame([(1, "1-URGENT")], "pos int, value string"), "o_orderkey", legacy=True)
+
+
+@query(f"""SELECT key, tag FROM (
+  SELECT key, tag, arg_max(adds, ("offset", adds)) AS adds, max("offset") AS last_at FROM (
+    SELECT key, "offset", 'a/' || (txid % 4) AS tag, 1 AS adds FROM {CL} WHERE op <> 'delete'
+    UNION ALL SELECT key, "offset", 'a/' || (k % 4) AS tag, 0 FROM {CL} WHERE op = 'update' AND k % 4 <> txid % 4) GROUP BY 1, 2) f
+  WHERE adds = 1 AND last_at > coalesce((SELECT max("offset") FROM {CL} d WHERE d.key = f.key AND d.op = 'delete'), -1)""")
+def tag_fold(spark, t):
+    changes = log(t).select(
+        "key", "offset", "op", F.array(F.concat(F.lit("a/"), F.col("txid") % 4)).alias("tags"),
+        F.when((F.col("op") == "update") & (F.col("k") % 4 != F.col("txid") % 4), F.array(F.concat(F.lit("a/"), F.col("k") % 4))).otherwise(F.array().cast("array<string>")).alias("removed_tags"),
+    )
+    return membership.tag_fold(changes)
+
+
+@query("SELECT o_orderkey, (o_orderkey % 2 = 0 AND o_orderkey % 3 = 0) OR o_orderkey % 5 = 0 AS visible FROM orders")
+def dnf_visible(spark, t):
+    active = F.array(*(F.col("o_orderkey") % n == 0 for n in (2, 3, 5)))
+    shape = F.array(F.array(F.lit(0), F.lit(1)), F.array(F.lit(2)), F.array(F.lit(2), F.lit(7)))
+    return t("orders").select("o_orderkey", membership.row_visible(active, shape).alias("visible"))
+
+
+@query("""
+WITH r AS (SELECT o_orderkey, o_orderstatus = 'O' AS s, o_orderpriority = '1-URGENT' AS u, o_orderpriority = '2-HIGH' AS h FROM orders)
+SELECT o_orderkey, CASE WHEN s AND u THEN 2 WHEN FALSE THEN 0 END::BIGINT AS evicted_at, CASE WHEN s AND u THEN FALSE WHEN s THEN TRUE ELSE TRUE END AS a0, NOT (u OR h) AS a1 FROM r
+""")
+def dnf_moves_timeline(spark, t):
+    rows = t("orders").select("o_orderkey", F.array(F.concat(F.col("o_orderstatus"), F.lit("/")), F.concat(F.lit("/"), F.col("o_orderpriority"))).alias("tags"), F.array(F.lit(True), F.lit(True)).alias("active"))
+    events = spark.createDataFrame([(1, "move_out", 0, "O"), (2, "move_out", 1, "1-URGENT"), (3, "move_in", 0, "O"), (4, "move_out", 1, "2-HIGH")], "seq long, kind string, pos int, value string")
+    out = membership.dnf_fold(rows, events, "o_orderkey", membership.disjuncts(["x/", "/y"]))
+    return out.select("o_orderkey", "evicted_at", F.col("active")[0].alias("a0"), F.col("active")[1].alias("a1"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS row_key FROM orders WHERE o_totalprice > 150000 AND o_orderstatus <> 'O'")
+def ownership_orphans(spark, t):
+    o = t("orders")
+    owned = lambda p, shape: where(o, p).select(F.col("o_orderkey").cast("string").alias("row_key"), F.lit(shape).alias("shape_id"))
+    dear = owned(Compare(PRICE, ">", 150_000), "dear")
+    return membership.orphans(dear.unionByName(owned(Compare("o_orderstatus", "=", "O"), "open")), dear)
+
+
+@query("""SELECT o_orderkey AS row_key, CASE WHEN NOT b THEN 'claimed' WHEN NOT a THEN 'released' ELSE 'retagged' END AS change FROM
+  (SELECT o_orderkey, o_totalprice > 150000 AS b, o_orderstatus = 'O' AS a FROM orders) WHERE (a OR b) AND NOT (a AND b AND o_orderkey % 2 = 0)""")
+def ownership_delta(spark, t):
+    o = t("orders").withColumnRenamed("o_orderkey", "row_key")
+    old = where(o, Compare(PRICE, ">", 150_000)).select("row_key", F.array(F.lit("x"), F.lit("y")).alias("tags"))
+    new = where(o, Compare("o_orderstatus", "=", "O")).select("row_key", F.when(F.col("row_key") % 2 == 0, F.array(F.lit("y"), F.lit("x"))).otherwise(F.array(F.lit("z"))).alias("tags"))
+    return membership.ownership_delta(old, new)
+
+
+@query("SELECT event_id, user_id, event_id AS version FROM events e WHERE event_id > coalesce((SELECT max(d.event_id) FROM events d WHERE d.user_id = e.user_id AND d.event_type = 'error'), -1)")
+def tombstone_fence(spark, t):
+    rows = t("events").select("event_id", "user_id", F.col("event_id").alias("version"))
+    stones = t("events").where("event_type = 'error'").select("user_id", F.col("event_id").alias("version"))
+    return membership.fenced(rows, stones, "user_id")
+
+
+@query("SELECT event_id AS row_id, ts AS deleted_at FROM events WHERE event_type = 'error' AND ts < (SELECT max(ts) FROM events) - INTERVAL 86400 SECONDS ORDER BY ts, event_id LIMIT 200")
+def tombstone_gc(spark, t):
+    stones = t("events").where("event_type = 'error'").select(F.col("event_id").alias("row_id"), F.col("ts").alias("deleted_at"))
+    now = t("events").agg(F.max("ts")).scalar()
+    return membership.expired(stones, now, 86_400)
+
+
+@query("SELECT CAST(o_custkey AS VARCHAR) AS cursor_key, count(DISTINCT o_orderpriority)::BIGINT AS owners FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) > 1")
+def owner_collisions(spark, t):
+    owners = t("orders").select(F.col("o_custkey").cast("string").alias("cursor_key"), F.col("o_orderpriority").alias("client_id"))
+    return membership.owner_collisions(owners)
+
+
+# --- streams
+
+
+@query("SELECT event_id, event_id AS n, props || chr(10) || 'x' AS data FROM events WHERE event_id < 500")
+def sse_events(spark, t):
+    wire = F.concat(F.lit(": hi\n\nid: 1\ndata: "), F.col("props"), F.lit("\r\ndata:x\n\n\nevent: e\n\n"))
+    rows = t("events").where("event_id < 500").select("event_id", F.explode(event_data(wire)).alias("data"))
+    return rows.select("event_id", F.col("event_id").alias("n"), "data")
+
+
+@query("SELECT reason, count(*)::BIGINT AS messages FROM (SELECT CASE WHEN event_id % 97 = 0 THEN 'schema' WHEN event_id % 89 = 0 THEN 'control' WHEN event_id % 83 = 0 THEN 'tag' WHEN event_id % 79 = 0 THEN 'active_conditions' END AS reason FROM events) WHERE reason IS NOT NULL GROUP BY 1")
+def quarantine_report(spark, t):
+    from tidelog.streaming.quarantine import report
+
+    e = F.col("event_id")
+    rows = t("events").select(
+        F.when(e % 97 == 0, "").otherwise("public").alias("schema"), F.lit("1").alias("version"), F.when(e % 89 == 0, "strange").alias("control"), F.lit(None).cast("string").alias("event"),
+        F.array(F.when(e % 83 == 0, "a/b/c").otherwise("a/b")).alias("tags"), F.when(e % 79 == 0, F.array(F.lit(True))).otherwise(F.array(F.lit(True), F.lit(False))).alias("active_conditions"),
+    )
+    return report(rows, segments=2)
+
+
+@query(LWW)
+def stream_cdc_equals_batch(spark, t):
+    """The change log through Structured Streaming into a generation table: the same rows as the batch query."""
+    from tidelog.streaming.pipeline import replay
+
+    return replay(spark, log(t).select("key", "offset", "op", "v", "k"))
+
+
+@query(f"""SELECT time_bucket(INTERVAL 1 DAY, ts) AS day, op, count(*)::BIGINT AS n FROM {CL.replace('FROM events)', ', ts FROM events)')} GROUP BY ALL""")
+def changes_by_day(spark, t):
+    rows = t("events").select(F.window(F.col("ts").cast("timestamp"), "1 day").alias("w"), F.when(F.col("event_type") == "signup", "insert").when(F.col("event_type") == "error", "delete").otherwise("update").alias("op"))
+    return rows.groupBy("w", "op").agg(F.count("*").alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("day"), "op", "n")
+
+
