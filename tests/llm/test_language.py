@@ -20,12 +20,44 @@ def test_known_words_before_grams_and_defined_cases(spark):
     rows = [(1, "der hund und die katze", "de"), (2, "the dog and the cat", "en"), (3, None, "xx"), (4, "ohne", None)]
     model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert model.langs == ["de", "en"]
-    assert model.predict("The dog!")[0] == "en" and model.predict("HUND")[0] == "de"
-    assert model.predict("hunde katzen")[0] == "de"  # unseen: by n-grams
-    assert model.predict(None) == ("und", 0.0) and model.predict("12 !?") == ("und", 0.0) and model.predict("")[0] == "und"
-    assert model.predict("жжж")[0] in ("de", "en")  # nothing seen: a tie, the first
+    one = lambda t: (lambda r: (r[0][0], float(r[1][0])))(model.predict([t]))
+    assert one("The dog!")[0] == "en" and one("HUND")[0] == "de"
+    assert one("hunde katzen")[0] == "de"  # unseen: by n-grams
+    assert one(None) == ("und", 0.0) and one("12 !?") == ("und", 0.0) and one("")[0] == "und"
+    assert one("жжж") == ("de", 0.5)  # nothing seen: a tie, the first
+    assert model.predict(["the cat", None, "der hund", "хх"])[0] == ["en", "und", "de", "de"]
     docs = spark.createDataFrame([(1, False, None, "x"), (1, False, None, "x"), (None, True, "the cat " * 20000, "y")], "doc_id long, held_out boolean, text string, lang string")
     got = language.predict(docs, model).collect()
     assert [r.lang_pred for r in sorted(got, key=lambda r: r.lang_pred)] == ["en", "und", "und"]
     empty = language.train(docs.where("false"))
     assert language.predict(docs, empty).where("lang_pred <> 'und'").count() == 0
+
+
+def test_backing_off_matches_brute_force(spark):
+    """Scores of unseen words against a plain count of n-grams."""
+    import math
+    from collections import Counter
+
+    rows = [(1, "abcab cabba abca", "x"), (2, "bcdbc cdbbd abd", "y"), (3, "aa bb aa", "x")]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    tables = {}
+    for n in range(1, 6):
+        for lang in "xy":
+            grams = Counter()
+            for _, t, own in rows:
+                for w in t.split():
+                    p = w if n == 1 else f"<{w}>"
+                    if own == lang:
+                        grams.update(p[i : i + n] for i in range(len(p) - n + 1))
+            tables[n, lang] = grams
+    for word in ("abcd", "zzabz", "d", "zz", "cabbax"):
+        want = [0.0, 0.0]
+        for n in range(5, 0, -1):
+            p = word if n == 1 else f"<{word}>"
+            seen = [g for g in (p[i : i + n] for i in range(len(p) - n + 1)) if tables[n, "x"][g] + tables[n, "y"][g]]
+            if seen:
+                size = len(set(tables[n, "x"]) | set(tables[n, "y"]))
+                want = [sum(math.log((tables[n, la][g] + 0.5) / (sum(tables[n, la].values()) + 0.5 * size)) for g in seen) / len(seen) for la in "xy"]
+                break
+        got = model.back_off([word])[0]
+        assert abs(got[0] - want[0]) < 1e-4 and abs(got[1] - want[1]) < 1e-4, word

@@ -5,9 +5,10 @@ log-frequency in each language. An unseen word backs off to its character n-gram
 LONGEST down to 1, of which at least one n-gram was seen, and adds the mean over those. The language with the greatest
 sum wins; the score is its posterior when the mean score of a word is sharpened by at most SHARPEN words.
 
-Training counts every word and n-gram of all training rows in Spark. Known words are the WORDS most frequent
-ones and known n-grams the GRAMS most frequent ones (sizes of the model, which bound what is broadcast); what
-falls outside backs off.
+Training counts every word of all training rows in Spark, and the n-grams of every counted word. Known words
+are the WORDS most frequent ones and known n-grams the GRAMS most frequent ones (sizes of the model, which
+bound what is broadcast); what falls outside backs off. N-grams are known by 64-bit hashes, and words of a
+batch are scored together.
 
 Defined cases. Null text, or a text with no letter: `und`, score 0. No training rows: `und`, score 0. One
 language only: that, score 1. Ties: the language first in the alphabet. Training rows with null text or lang
@@ -17,70 +18,107 @@ are never cut.
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.llm import arrays
+from tidelog.llm.scratch import Scratch
+
 WORDS, GRAMS, LONGEST = 100_000, 50_000, 5
 SHARPEN = 50
-REMEMBERED = 200_000
 LETTERS = re.compile(r"[^\W\d_]+")
-FLUSH = 200_000  # distinct (language, item) counts held by a task before it hands them on
+FLUSH = 200_000  # distinct (language, word) counts held by a task before it hands them on
+SLICE = 1 << 21  # characters scored together
+
+
+class WordList:
+    """Code points of words, each between two marks, and the hashes of their n-grams."""
 
+    def __init__(self, words: list[str]) -> None:
+        flat = "\x03\x02".join(words)
+        self.points = np.frombuffer(f"\x02{flat}\x03".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        self.word = np.repeat(np.arange(len(words)), sizes)
 
-def grams(word: str, n: int) -> list[str]:
-    padded = f"\x02{word}\x03"
-    return [padded[i : i + n] for i in range(len(padded) - n + 1)] if n > 1 else list(word)
+    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(word, hash) of every n-gram; single characters go without the marks."""
+        count = len(self.points) - n + 1
+        if count <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        h = np.full(count, n, np.uint64)
+        for i in range(n):
+            h = h * arrays.BASE + self.points[i : i + count]
+        inside = self.word[n - 1 :] == self.word[:count]
+        if n == 1:
+            inside &= self.points > 3
+        return self.word[:count][inside], arrays.mix(h[inside])
 
 
-@dataclass
 class Model:
-    langs: list[str]
-    words: dict[str, np.ndarray]  # log-frequencies by language
-    grams: list[dict[str, np.ndarray]]  # by length, from 1
-    memo: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def of_word(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
-        if found is not None:
-            return found
-        found = self.memo.get(word)
-        if found is None:
-            found = self._back_off(word)
-            if len(self.memo) >= REMEMBERED:
-                self.memo.clear()
-            self.memo[word] = found
-        return found
+    """words: word -> row of scores; grams: by length, ascending hashes and their rows of scores."""
+
+    def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: dict[int, tuple[np.ndarray, np.ndarray]]) -> None:
+        self.langs, self.grams = langs, grams
+        self.rows = {w: i for i, w in enumerate(words)}
+        self.scores = np.array(list(words.values()), np.float32).reshape(len(words), len(langs))
 
-    def _back_off(self, word: str) -> np.ndarray:
+    def back_off(self, words: list[str]) -> np.ndarray:
+        """Scores of unseen words."""
+        out = np.zeros((len(words), len(self.langs)), np.float32)
+        left = np.arange(len(words))
         for n in range(LONGEST, 0, -1):
-            seen = [v for g in grams(word, n) if (v := self.grams[n - 1].get(g)) is not None]
-            if seen:
-                return sum(seen) / len(seen)
-        return np.zeros(len(self.langs))
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = LETTERS.findall(text.lower()) if text else []
-        if not words or not self.langs:
-            return "und", 0.0
-        total = np.zeros(len(self.langs))
-        times = Counter(words)
-        for word, k in times.items():
-            total += k * self.of_word(word)
-        best = int(total.argmax())
-        spread = (total - total[best]) * (min(len(words), SHARPEN) / len(words))
-        return self.langs[best], float(1 / np.exp(np.clip(spread, -700, 0)).sum())
+            known, scores = self.grams.get(n, (np.zeros(0, np.uint64), None))
+            if not len(left) or not len(known):
+                continue
+            of, h = WordList([words[i] for i in left]).grams(n)
+            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            hit = known[at] == h
+            of, at = of[hit], at[hit]
+            times = np.bincount(of, minlength=len(left))
+            for lang in range(len(self.langs)):
+                out[left, lang] = np.bincount(of, scores[at, lang], len(left)) / np.maximum(times, 1)
+            left = left[times == 0]
+        return out
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """The language and the score of each text."""
+        split = [LETTERS.findall(t.lower()) if t else [] for t in texts]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        names, scores = ["und"] * len(texts), np.zeros(len(texts))
+        if not self.langs or not sizes.sum():
+            return names, scores
+        get, own = self.rows.get, {}
+        base, rows = len(self.rows), []
+        for words in split:
+            for w in words:
+                i = get(w)
+                rows.append(i if i is not None else base + own.setdefault(w, len(own)))
+        table = np.concatenate([self.scores, self.back_off(list(own))]) if own else self.scores
+        some = np.flatnonzero(sizes)
+        ends = np.cumsum(sizes)
+        picked = table[np.array(rows)]
+        total = np.add.reduceat(picked.astype(np.float64), (ends - sizes)[some], axis=0)
+        best = total.argmax(axis=1)
+        spread = (total - total.max(axis=1, keepdims=True)) * (np.minimum(sizes[some], SHARPEN) / sizes[some])[:, None]
+        scores[some] = 1 / np.exp(np.clip(spread, -700, 0)).sum(axis=1)
+        for i, b in zip(some.tolist(), best.tolist(), strict=True):
+            names[i] = self.langs[b]
+        return names, scores
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (lang, n, item): words at n = 0, n-grams of each word's letters at their length."""
+    """Counts of (lang, word)."""
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for lang, words in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words)), pa.array(list(words)), pa.array(list(words.values()), pa.int64())], ["lang", "word", "k"])
+
     held: dict[str, Counter] = {}
     size = 0
     for batch in batches:
@@ -90,57 +128,59 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own.update(LETTERS.findall(text.lower()))
             size += len(own) - before
             if size >= FLUSH:
-                yield from _flush(held)
+                yield from flush()
                 held, size = {}, 0
-    yield from _flush(held)
+    yield from flush()
 
 
-def _flush(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-    for lang, words in held.items():
-        out = Counter({(0, w): k for w, k in words.items()})
-        for word, k in words.items():
-            for n in range(1, LONGEST + 1):
-                for g in grams(word, n):
-                    out[n, g] += k
-        keys = list(out)
-        for i in range(0, len(keys), 50_000):
-            part = keys[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array([n for n, _ in part], pa.int32()), pa.array([g for _, g in part]), pa.array([out[k] for k in part], pa.int64())], ["lang", "n", "item", "k"])
+def _tally_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of (lang, n, hash) over counted words."""
+    for batch in batches:
+        langs = batch.column("lang").dictionary_encode()
+        of_word, times = langs.indices.to_numpy(zero_copy_only=False), batch.column("k").to_numpy(zero_copy_only=False)
+        listed = WordList(batch.column("word").to_pylist())
+        for n in range(1, LONGEST + 1):
+            word, h = listed.grams(n)
+            for i, lang in enumerate(langs.dictionary.to_pylist()):
+                mine = of_word[word] == i
+                keys, place = np.unique(h[mine], return_inverse=True)
+                k = np.bincount(place, times[word[mine]]).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(np.full(len(keys), n, np.int32)), pa.array(arrays.signed(keys)), pa.array(k)], ["lang", "n", "h", "k"])
 
 
 def train(docs: DataFrame, words: int = WORDS, most_grams: int = GRAMS) -> Model:
     """docs: rows with text and lang to learn from."""
+    scratch = Scratch(docs.sparkSession)
     rows = docs.where("text is not null and lang is not null").select("lang", "text")
-    counts = rows.mapInArrow(_tally, "lang string, n int, item string, k long").groupBy("n", "item", "lang").agg(F.sum("k").alias("k"))
-    table = counts.groupBy("n", "item").agg(F.sum("k").alias("k"), F.collect_list(F.struct("lang", "k")).alias("by"))  # one entry per language
+    counted = scratch.save(rows.mapInArrow(_tally, "lang string, word string, k long").groupBy("word", "lang").agg(F.sum("k").alias("k")), "words")
     langs = sorted(x["lang"] for x in rows.select("lang").distinct().collect())
     at = {x: i for i, x in enumerate(langs)}
+    grams = counted.mapInArrow(_tally_grams, "lang string, n int, h long, k long").groupBy("n", "h", "lang").agg(F.sum("k").alias("k"))
 
-    def top(of: DataFrame, most: int) -> dict[str, np.ndarray]:
-        got = of.orderBy(F.desc("k"), "n", "item").limit(most).select("n", "item", "by").toArrow()
+    def top(of: DataFrame, keys: list[str], most: int) -> dict[tuple, np.ndarray]:
+        each = of.groupBy(*keys).agg(F.sum("k").alias("k"), F.collect_list(F.struct("lang", "k")).alias("by"))  # one entry per language
+        got = each.orderBy(F.desc("k"), *keys).limit(most).select(*keys, "by").toArrow()
         found = {}
-        for n, item, by in zip(*(got[c].to_pylist() for c in ("n", "item", "by")), strict=True):
+        for *key, by in zip(*(got[c].to_pylist() for c in (*keys, "by")), strict=True):
             v = np.zeros(len(langs))
             for x in by:
                 v[at[x["lang"]]] = x["k"]
-            found[n, item] = v
+            found[tuple(key)] = v
         return found
 
-    from tidelog.llm.scratch import Scratch
+    def smoothed(counts: list[np.ndarray]) -> np.ndarray:
+        v = np.array(counts).reshape(len(counts), len(langs))
+        return np.log((v + 0.5) / (v.sum(axis=0) + 0.5 * len(v)))
 
-    scratch = Scratch(docs.sparkSession)
-    table = scratch.save(table, "counts")
-    kept = top(table.where("n = 0"), words) | top(table.where("n > 0"), most_grams)
-    scratch.drop(table)
-    by_n: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
-    for (n, item), v in kept.items():
-        by_n[n][item] = v
-    for level in by_n:
-        if level:
-            totals = sum(level.values())
-            for item, v in level.items():
-                level[item] = np.log((v + 0.5) / (totals + 0.5 * len(level)))
-    return Model(langs, by_n[0], by_n[1:])
+    known = top(counted, ["word"], words)
+    parts = top(grams, ["n", "h"], most_grams)
+    scratch.drop(counted)
+    by_n, vectors = {}, list(parts.values())
+    for n in range(1, LONGEST + 1):
+        own = sorted((h % (1 << 64), i) for i, (m, h) in enumerate(parts) if m == n)
+        if own:
+            by_n[n] = (np.array([h for h, _ in own], np.uint64), smoothed([vectors[i] for _, i in own]).astype(np.float32))
+    return Model(langs, dict(zip((w for (w,) in known), smoothed(list(known.values())), strict=True)) if known else {}, by_n)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -149,10 +189,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first in range(0, batch.num_rows, 1000):
-                part = batch.slice(first, 1000)
-                found = [sent.value.predict(t) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+            for first, end, _, _ in arrays.slices(batch.column("text"), SLICE):
+                part = batch.slice(first, end - first)
+                names, scores = sent.value.predict(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
