@@ -13,9 +13,9 @@ two spelled side by side gives just [a, b] (any other arc weighs infinity). A to
 merges exactly if all its neighbours pass that test, so one path of finite weight remains, and it is what the
 merges would give. Prefixes have one such path too, so one survivor for each position is kept.
 
-No piece of the model spells a space symbol after another symbol (checked when it is compiled; else inputs
-are not split), so paths of different words are independent and a word's path is remembered, in a table of
-bounded size.
+Where no piece of the model spells two neighbouring symbols side by side, no path crosses: inputs are cut before
+space symbols (if that holds for them; checked when the model is compiled), words are cut at such places, and
+the paths of words and parts are remembered, in tables of bounded size.
 
 Defined cases. Null text: null ids, no tokens, round trip true. Empty text: no ids. Code points that no piece
 spells: bytes. The space symbol itself in a text decodes to a space, as the model defines; round_trip is
@@ -25,7 +25,6 @@ are never cut.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from pathlib import Path
@@ -35,9 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.llm import arrays
+from tidelog.llm.scratch import bounded_batches
+
 SPACE = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-REMEMBERED = 250_000  # words, and as many neighbour tests, kept by a worker
+REMEMBERED, REMEMBERED_CHARS = 150_000, 4_000_000  # words of a generation and their characters; a worker keeps two generations
+_RUNS, _RUNS_ONLY = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"), re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 IDS = "ids array<int>"
 
 
@@ -59,18 +62,24 @@ class Transducer:
         self.merges = _model_type(Path(model_file).read_bytes()) == 2
         self.splits = not any(SPACE in name.lstrip(SPACE) for name in self.ids)
         self.trie = self._compile()
-        self.is_byte = {v: k for k, v in self.byte_id.items()}
-        self.words: dict[str, list[int]] = {}
-        self.follows: dict[tuple[str, str], bool] = {}
+        self.joins = {name[i : i + 2] for name in self.ids for i in range(len(name) - 1)}
+        self.breaks = not any("\n" in name for name in self.ids)
+        is_byte = {v: k for k, v in self.byte_id.items()}
+        self.spelled = [bytes([is_byte[i]]) if i in is_byte else name.encode() for i, name in enumerate(self.names)]
+        self.code = np.uint16 if len(self.names) <= 1 << 16 else np.uint32
+        self.words: dict[str, bytes] = {}  # paths, packed
+        self.before: dict[str, bytes] = {}  # the generation before
+        self.held = 0  # characters of the remembered words
+        self.follows: dict[str, dict[str, bool]] = {}
 
     def _compile(self) -> dict:
-        """P as nested arcs; the key None holds the piece that a state ends."""
+        """P as nested arcs: symbol -> (the piece that ends there or None, the arcs that go on)."""
         root: dict = {}
-        for name in self.ids:
+        for name in sorted(self.ids):
             at = root
-            for c in name:
-                at = at.setdefault(c, {})
-            at[None] = name
+            for c in name[:-1]:
+                at = at.setdefault(c, (None, {}))[1]
+            at[name[-1]] = (name, at[name[-1]][1] if name[-1] in at else {})
         return root
 
     def normalise(self, text: str) -> str:
@@ -93,40 +102,56 @@ class Transducer:
 
     def may_follow(self, a: str, b: str) -> bool:
         """Whether the arc of piece b leaves a state that piece a ended."""
-        known = self.follows.get((a, b))
-        if known is None:
-            known = self._merged(a + b) == [a, b]
+        return self._merged(a + b) == [a, b]
+
+    def _after(self, a: str) -> dict[str, bool]:
+        """The remembered answers of may_follow(a, .)."""
+        found = self.follows.get(a)
+        if found is None:
             if len(self.follows) >= REMEMBERED:
                 self.follows.clear()
-            self.follows[(a, b)] = known
-        return known
+            found = self.follows[a] = {}
+        return found
 
     def shortest(self, symbols: str) -> list[int]:
         """Ids on the path of least weight through the composition with symbols."""
-        n = len(symbols)
+        n, merges, weight = len(symbols), self.merges, self.weight
         cost: list[float | None] = [None] * (n + 1)
-        last: list[str | None] = [None] * (n + 1)  # the piece (or, by fallback, the symbol) that ended the survivor
+        last: list[str] = [""] * (n + 1)  # the piece (or, by fallback, the symbol) that ended the survivor
         cost[0] = 0.0
         for i in range(n):
-            if cost[i] is None:
+            here = cost[i]
+            if here is None:
                 continue
-            at, j, spelled = self.trie, i, False
-            while j < n and (at := at.get(symbols[j])) is not None:
+            arcs, j, spelled = self.trie, i, False
+            after = self._after(last[i]) if merges and i else None
+            while j < n:
+                arc = arcs.get(symbols[j])
+                if arc is None:
+                    break
+                piece, arcs = arc
                 j += 1
-                piece = at.get(None)
                 if piece is None:
                     continue
-                spelled = spelled or j == i + 1
-                if self.merges:
-                    if last[i] is not None and not self.may_follow(last[i], piece):
+                if j == i + 1:
+                    spelled = True
+                if merges:
+                    if cost[j] is not None:  # the one path of finite weight to there is known
                         continue
-                    w = cost[i] + 1
+                    if after is not None:
+                        ok = after.get(piece)
+                        if ok is None:
+                            ok = after[piece] = self.may_follow(last[i], piece)
+                        if not ok:
+                            continue
+                    cost[j], last[j] = here + 1, piece
                 else:
-                    w = cost[i] - self.weight[piece]
-                if cost[j] is None or w < cost[j]:
-                    cost[j], last[j] = w, piece
+                    w = here - weight[piece]
+                    known = cost[j]
+                    if known is None or w < known:
+                        cost[j], last[j] = w, piece
             if not spelled:  # byte fallback; a symbol without a piece merges with nothing
-                w = cost[i] + (1 if self.merges else 1e9)
+                w = here + (1 if merges else 1e9)
                 if cost[i + 1] is None or w < cost[i + 1]:
                     cost[i + 1], last[i + 1] = w, symbols[i]
         out: list[int] = []
@@ -134,34 +159,53 @@ class Transducer:
             piece = last[n]
             n -= len(piece)
             known = self.ids.get(piece)
-            out += [known] if known is not None else [self.byte_id[b] for b in reversed(piece.encode("utf-8", "surrogatepass"))]
+            if known is not None:
+                out.append(known)
+            else:
+                out += [self.byte_id[b] for b in reversed(piece.encode("utf-8", "surrogatepass"))]
         return out[::-1]
 
-    def encode(self, text: str) -> list[int]:
-        symbols = self.normalise(text)
+    def _words(self, symbols: str) -> list[str]:
+        """symbols cut where no path crosses: before runs of space symbols, and around a newline that no piece holds."""
         if not self.splits:
-            return self.shortest(symbols)
-        out: list[int] = []
-        words, get = self.words, self.words.get
-        for word in re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", symbols):
-            path = get(word)
+            return [symbols]
+        if SPACE * 2 in symbols or "\x00" in symbols:
+            return (_RUNS if self.breaks else _RUNS_ONLY).findall(symbols)
+        cut = symbols.replace(SPACE, f"\x00{SPACE}")
+        return (cut.replace("\n", "\x00\n\x00") if self.breaks else cut).split("\x00")
+
+    def _path(self, word: str) -> bytes:
+        """The packed path of a word: its parts' paths, where no piece spells both neighbours of a cut."""
+        known, joins, first, parts = self.words, self.joins, 0, []
+        for i in range(1, len(word) + 1):
+            if i < len(word) and word[i - 1 : i + 1] in joins:
+                continue
+            part = word[first:i]
+            first = i
+            path = known.get(part) or self.before.get(part)
             if path is None:
-                path = self.shortest(word)
-                if len(word) <= 64:
-                    if len(words) >= REMEMBERED:
-                        words.clear()
-                    words[word] = path
-            out += path
-        return out
-
-    def decode(self, ids: list[int]) -> str:
+                path = np.array(self.shortest(part), self.code).tobytes()
+            if part != word:
+                known[part] = path
+            parts.append(path)
+        return b"".join(parts)
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text."""
+        words = self._words(self.normalise(text))
+        if len(self.words) > REMEMBERED or self.held > REMEMBERED_CHARS:
+            self.before, self.words, self.held = self.words, {}, 0
+        known, before = self.words, self.before
+        for word in set(words).difference(known):
+            path = before.get(word)
+            known[word] = path if path is not None else self._path(word)
+            self.held += len(word)
+        return np.frombuffer(b"".join(map(known.__getitem__, words)), self.code)
+
+    def decode(self, ids: np.ndarray | list[int]) -> str:
         """The inverse: spelled pieces, runs of bytes as UTF-8, without the space symbol before the text."""
-        parts: list[bytes] = []
-        is_byte, names = self.is_byte, self.names
-        for i in ids:
-            b = is_byte.get(i)
-            parts.append(names[i].encode() if b is None else bytes([b]))
-        text = b"".join(parts).decode("utf-8", "replace").replace(SPACE, " ")
+        spelled = self.spelled
+        text = b"".join([spelled[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)]).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -205,8 +249,11 @@ def load(model_file: str) -> Transducer:
     return _LOADED[model_file]
 
 
-def _ids_array(found: list[list[int] | None]) -> pa.Array:
-    return pa.array([None if x is None else np.array(x, np.int32) for x in found], pa.list_(pa.int32()))
+def _ids_array(found: list[np.ndarray | None]) -> pa.Array:
+    sizes = np.array([0, *(0 if x is None else len(x) for x in found)])
+    flat = np.concatenate([x for x in found if x is not None] or [np.zeros(0)]).astype(np.int32)
+    missing = pa.array([x is None for x in found], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(flat), mask=missing)
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_file: str = MODEL) -> DataFrame:
@@ -215,13 +262,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = load(model_file)
         for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
+            for first, end, _, _ in arrays.slices(batch.column("text")):
+                part = batch.slice(first, end - first)
                 texts = part.column("text").to_pylist()
                 ids = [None if t is None else fst.encode(t) for t in texts]
                 same = [t is None or fst.decode(i) == t for t, i in zip(texts, ids, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), _ids_array(ids), pa.array(same, pa.bool_())], ["doc_id", "ids", "round_trip"])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"doc_id long, {IDS}, round_trip boolean")
 
@@ -238,11 +286,6 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", mod
     return encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, "doc_id long, text string")
 
 
-def digest(ids: list[int]) -> str:
-    """SHA-256 of ids as little-endian 32-bit integers."""
-    return hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest()
-
-
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = encode(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return rows.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids", "round_trip")

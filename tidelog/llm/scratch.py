@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_BYTES = 8 << 20
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; where that is unset (tests on one machine), one of our own."""
@@ -30,10 +32,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Holds Arrow batches of this session to BATCH_BYTES, so that a worker's memory does not follow the length of texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(spark.conf.get(name)).lower().rstrip("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[-1:], 1)
+    size = int(now.rstrip("kmg")) * unit
+    if size <= 0 or size > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 class Scratch:
     """Writes tables of one job and drops those that are done with."""
 
     def __init__(self, spark: SparkSession) -> None:
+        bounded_batches(spark)
         self.spark = spark
         self.paths: dict[int, str] = {}
 
