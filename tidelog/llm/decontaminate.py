@@ -11,8 +11,6 @@ fingerprints within RADIUS = BLOCKS - 1 bits agree in one block at least, so rea
 block misses none within the radius. Those within the radius are verified by weighted Jaccard similarity of the exact
 shingle multisets, which decides at THRESHOLD.
 
-Windows of one length are rolled with prefix sums of per-bit votes over a document's stretches only.
-
 The items travel to the tasks in portions of about ITEM_BYTES of text (their size is checked first); a larger
 benchmark takes one pass over the documents for each portion.
 
@@ -31,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import arrays
+from tidelog.llm.scratch import bounded_batches
 
 K, THRESHOLD = 5, 0.8
 BLOCKS, RADIUS = 20, 19
@@ -58,7 +57,7 @@ def _pack(votes: np.ndarray) -> np.ndarray:
 class Items:
     """The benchmark side: shingles, weights, fingerprints and the multi-index."""
 
-    def __init__(self, ids: list, texts: list[str], weights: dict[int, float] | None = None) -> None:
+    def __init__(self, ids: list, texts: list[str]) -> None:
         self.ids: list = []
         self.grams: list[np.ndarray] = []  # shingle hashes in order
         self.sizes: list[int] = []
@@ -187,6 +186,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 def portions(benchmark: DataFrame) -> Iterator[Items]:
     """The items, in portions of about ITEM_BYTES; one portion at least."""
+    bounded_batches(benchmark.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-size // ITEM_BYTES) or 1

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.scratch import new_path
+from tidelog.llm.scratch import bounded_batches, new_path
 
 FRAME, BUNDLE = 1 << 20, 64 << 20
 #: Fixed values of the seekable format.
@@ -154,6 +154,7 @@ def referred(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     """Writes bundles of all pages into folder (a URI) and an index table beside them; returns the index."""
     spark = pages.sparkSession
+    bounded_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = pafs.FileSystem.from_uri(folder)
