@@ -12,7 +12,7 @@ one point. The join goes region by region:
   chunk once, in packed runs of shortened hashes; it sets the order only, and any order is exact.
 * Within a region, points of sizes that cannot be within r of any neighbour in size leave.
 * A region is then joined recursively with pivots taken from its points: first the most central one (with the
-  fewest rarer shingles before the region's own), later PIVOTS of them, found by aggregation. Distances to
+  fewest rarer shingles before the region's own), later ever more of them, found by aggregation. Distances to
   the pivots are exact. A point within r of a pivot is linked to its nearest pivot (its Voronoi region). Links of
   such a point x to others reach only points y with r < d(y, p) <= 2 r and d(x, p) >= d(y, p) - r, by the
   triangle inequality: such border points y are replicated into the pivot's region and compared there with
@@ -43,7 +43,7 @@ from tidelog.llm import arrays, substrings
 from tidelog.llm.components import components
 from tidelog.llm.scratch import Scratch
 
-PIVOTS = 8  # pivots of a region in later rounds; the first round takes one
+PIVOTS, MOST_PIVOTS = 8, 512  # pivots of a region: one in the first round, PIVOTS in the second, then twice as many each round
 _SHORT, _SET = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 MEMBERS = "region long, node long, n int, pos int"
 POINTS = "doc_id long, node long, n int, near array<long>"
@@ -246,6 +246,19 @@ def _possible(percent: int, n: str, pos: str, m: str, at: str) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (F.least(n - pos, m - at) >= least)
 
 
+def _joinable(members: DataFrame, percent: int) -> DataFrame:
+    """Members of regions that hold a possible pair.
+
+    Of a linked pair the smaller set has its first common shingle early, among the first n - 2 t n / (1 + t): the
+    intersection is at least t (n + m) / (1 + t). Members that are so placed may be pivots; regions without any are done.
+    """
+    return members.join(members.where(_may_lead(percent)).select("region").distinct(), "region", "left_semi")
+
+
+def _may_lead(percent: int) -> Column:
+    return F.col("n") - F.col("pos") >= F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent))
+
+
 def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame | None:
     """Links (a, b) that join every class, by recursive pivot regions over MEMBERS rows."""
     radius, slack = 1 - percent / 100, 1e-9
@@ -258,8 +271,8 @@ def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -
         return known
 
     while not active.isEmpty():
-        split = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(PIVOTS if turn else 1))
-        pivots = active.groupBy("region", split.alias("salt")).agg(F.min(F.struct("pos", "node", "n")).alias("p")).select("region", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos"))
+        split = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(min(PIVOTS << (turn - 1), MOST_PIVOTS) if turn else 1))
+        pivots = active.where(_may_lead(percent)).groupBy("region", split.alias("salt")).agg(F.min(F.struct("pos", "node", "n")).alias("p")).select("region", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos"))
         near = active.join(pivots, "region")
         known = measured(near.where((F.col("node") != F.col("pivot")) & _possible(percent, "n", "pos", "pivot_n", "pivot_pos")).select(F.col("node").alias("x"), F.col("pivot").alias("y")))
         bound = F.lit(1.0) - F.least("n", "pivot_n") / F.greatest("n", "pivot_n")  # a lower bound of the distance where it was not measured
@@ -278,7 +291,7 @@ def links(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -
         for side in ("x", "y"):
             cross = cross.join(classes.select(F.col("node").alias(side), F.col("component").alias(f"{side}_class")), side, "left")
         measured(cross.where(F.coalesce("x_class", "x") != F.coalesce("y_class", "y")))
-        after = scratch.save(crowded(state.where("not is_pivot and not linked").select("region", "node", "n", "pos"), percent), "members")
+        after = scratch.save(_joinable(crowded(state.where("not is_pivot and not linked").select("region", "node", "n", "pos"), percent), percent), "members")
         scratch.drop(active, told, classes)
         active, turn = after, turn + 1
     return _union(found) if found else None
@@ -300,6 +313,9 @@ def join(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "doc_id",
     scratch.release()
     nodes = table.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("near").alias("near"))
     members = scratch.save(crowded(nodes.select("node", "n", F.posexplode("near").alias("pos", "region")), percent), "members")
+    joinable = scratch.save(_joinable(members, percent), "members")
+    scratch.drop(members)
+    members = joinable
     named = table.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = named.join(members.select("node").distinct(), "node", "left_semi")
     sets = scratch.save(whole_sets(rows, wanted, k), "sets")
