@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidelog.llm.scratch import Scratch
 from tidelog.llm.spans import SPAN, count_of, digest, listed, no_spans, spans
 
 #: The base patterns.
@@ -81,34 +82,45 @@ def tested(runs: DataFrame) -> DataFrame:
         fits = F.col("bare").rlike(_class(letters))
         code = F.when(fits, F.lit(name)) if code is None else code.when(fits, F.lit(name))
         alphabet = F.when(fits, F.lit(letters)) if alphabet is None else alphabet.when(fits, F.lit(letters))
-    rows = runs.withColumn("bare", bare).withColumn("encoding", code).withColumn("alphabet", alphabet)
-    rows = rows.withColumn("n", F.length("bare").cast("double")).withColumn("m", F.length("alphabet").cast("double"))
-    rows = rows.withColumn("codes", F.transform(F.split("bare", "(?!^)(?!$)"), lambda c: F.instr(F.col("alphabet"), c).cast("double") - 1))
-    squares = F.aggregate(F.array_distinct("codes"), F.lit(0.0), lambda acc, c: acc + F.pow(F.size(F.filter("codes", lambda x: x == c)).cast("double"), F.lit(2.0)))
+    rows = _step(runs, bare=bare)
+    rows = _step(rows, encoding=code, alphabet=alphabet)
+    rows = _step(rows, n=F.length("bare").cast("double"), m=F.length("alphabet").cast("double"), codes=F.transform(F.split("bare", "(?!^)(?!$)"), lambda c: F.instr(F.col("alphabet"), c).cast("double") - 1))
+    add = lambda values: F.aggregate(values, F.lit(0.0), lambda x, y: x + y)
+    heads, tails = F.slice("codes", 1, F.size("codes") - 1), F.slice("codes", 2, F.size("codes") - 1)
+    high = lambda c: c >= F.col("m") / 2
+    rows = _step(
+        rows,
+        squares=F.aggregate(F.array_distinct("codes"), F.lit(0.0), lambda acc, c: acc + F.pow(F.size(F.filter("codes", lambda x: x == c)).cast("double"), F.lit(2.0))),
+        n1=F.size(F.filter("codes", high)).cast("double"),
+        changes=add(F.zip_with(heads, tails, lambda x, y: F.when(high(x) != high(y), 1.0).otherwise(0.0))) + 1,
+        s1=add(F.col("codes")),
+        s2=add(F.transform("codes", lambda c: c * c)),
+        s12=add(F.zip_with(heads, tails, lambda x, y: x * y)),
+        first=F.get("codes", F.lit(0)),
+        last=F.get("codes", F.size("codes") - 1),
+    )
+    n, m, avg = F.col("n"), F.col("m"), F.col("s1") / F.col("n")
     # chi-squared, by Wilson and Hilferty's cube root as a normal score
-    chi = F.col("m") / F.col("n") * squares - F.col("n")
-    k = F.col("m") - 1
-    rows = rows.withColumn("z_chi", (F.pow(F.greatest(chi, F.lit(0.0)) / k, F.lit(1 / 3)) - (1 - 2 / (9 * k))) / F.sqrt(2 / (9 * k)))
+    k = m - 1
+    chi = (F.pow(F.greatest(m / n * F.col("squares") - n, F.lit(0.0)) / k, F.lit(1 / 3)) - (1 - 2 / (9 * k))) / F.sqrt(2 / (9 * k))
     # runs above and below the middle of the alphabet
-    rows = rows.withColumn("high", F.transform("codes", lambda c: (c >= F.col("m") / 2).cast("int")))
-    n1 = F.aggregate("high", F.lit(0), lambda a, b: a + b).cast("double")
-    steps = F.zip_with(F.slice("high", 1, F.size("high") - 1), F.slice("high", 2, F.size("high") - 1), lambda a, b: (a != b).cast("int"))
-    rows = rows.withColumn("n1", n1).withColumn("changes", F.aggregate(steps, F.lit(0), lambda a, b: a + b).cast("double") + 1)
-    n2, n = F.col("n") - F.col("n1"), F.col("n")
-    mean = 2 * F.col("n1") * n2 / n + 1
+    mean = 2 * F.col("n1") * (n - F.col("n1")) / n + 1
     var = (mean - 1) * (mean - 2) / (n - 1)
-    rows = rows.withColumn("z_runs", F.when(var > 0, F.abs(F.col("changes") - mean) / F.sqrt(F.when(var > 0, var))).otherwise(F.lit(6.0)))
+    runs_score = F.when(var > 0, F.abs(F.col("changes") - mean) / F.sqrt(F.when(var > 0, var))).otherwise(F.lit(6.0))
     # serial correlation of neighbours
-    avg = F.aggregate("codes", F.lit(0.0), lambda a, b: a + b) / n
-    rows = rows.withColumn("avg", avg)
-    rows = rows.withColumn("dev", F.transform("codes", lambda c: c - F.col("avg")))
-    cov = F.aggregate(F.zip_with(F.slice("dev", 1, F.size("dev") - 1), F.slice("dev", 2, F.size("dev") - 1), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    ss = F.aggregate(F.transform("dev", lambda d: d * d), F.lit(0.0), lambda a, b: a + b)
-    rows = rows.withColumn("z_serial", F.when(ss > 0, F.abs(cov / F.when(ss > 0, ss)) * F.sqrt(n)).otherwise(F.lit(6.0)))
+    cov = F.col("s12") - avg * (2 * F.col("s1") - F.col("first") - F.col("last")) + (n - 1) * avg * avg
+    ss = F.col("s2") - n * avg * avg
+    serial = F.when(ss > 1e-9, F.abs(cov / F.when(ss > 1e-9, ss)) * F.sqrt(n)).otherwise(F.lit(6.0))
+    rows = _step(rows, z_chi=chi, z_runs=runs_score, z_serial=serial)
     # the half-normal mean is taken off the two-sided scores, so that the sum has mean zero under the null
     centre = 0.7978845608028654
-    combined = (F.col("z_chi") + (F.col("z_runs") - centre) + (F.col("z_serial") - centre)) / (1 + 2 * (1 - centre * centre)) ** 0.5
-    return rows.withColumn("p", F.when(F.col("encoding").isNotNull(), normal_tail(combined))).drop("bare", "alphabet", "m", "codes", "z_chi", "high", "n1", "changes", "z_runs", "avg", "dev", "z_serial")
+    rows = _step(rows, z=(F.col("z_chi") + (F.col("z_runs") - centre) + (F.col("z_serial") - centre)) / (1 + 2 * (1 - centre * centre)) ** 0.5)
+    return rows.select(*runs.columns, "encoding", "n", F.when(F.col("encoding").isNotNull(), normal_tail(F.col("z"))).alias("p"))
+
+
+def _step(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that later ones use several times. They are made once: through a generator, which projections do not merge across."""
+    return df.select("*", F.explode(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))).alias("_step")).select(*df.columns, "_step.*")
 
 
 def controlled(rows: DataFrame, fdr: float) -> DataFrame:
@@ -126,6 +138,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: f
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("mark", F.xxhash64("text"))
     runs = rows.select("doc_id", "mark", F.explode(run_spans(F.col("text"))).alias("s")).select("doc_id", "mark", "s", F.col("s.value").alias("value")).distinct()
+    runs = Scratch(docs.sparkSession).save(runs, "runs")  # few and short; the texts are searched once
     kept = controlled(tested(runs), fdr)
     added = kept.groupBy("doc_id", "mark").agg(F.collect_list("s").alias("more"))
     added = added.select(F.col("doc_id").alias("added_id"), F.col("mark").alias("added_mark"), "more")
