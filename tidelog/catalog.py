@@ -210,14 +210,23 @@ def snapshots(spark) -> DataFrame:
     return spark.createDataFrame(SNAPSHOTS, "snapshot_id string, xmin string, xmax string, xip array<string>")
 
 
-@query(f'SELECT snapshot_id, "offset", {VISIBLE_SQL} AS visible FROM {CL} l, {SNAPSHOT_SQL} WHERE txid % 50 < 3')
-def snapshot_visibility(spark, t):
-    changes = log(t).where("txid % 50 < 3").select("offset", "txid")
+def visibilities(changes: DataFrame) -> DataFrame:
     array = F.array(*(F.struct(F.lit(i).alias("snapshot_id"), F.lit(a).alias("xmin"), F.lit(b).alias("xmax"), F.array(*map(F.lit, x)).cast("array<string>").alias("xip")) for i, a, b, x in SNAPSHOTS))
     rows = changes.select("offset", "txid", F.explode(array).alias("s"))
     return rows.select("s.snapshot_id", "offset", cdc.visible(F.col("txid"), F.col("s.xmin"), F.col("s.xmax"), F.col("s.xip")).alias("visible"))
 
 
+@query(f'SELECT snapshot_id, "offset", {VISIBLE_SQL} AS visible FROM {CL} l, {SNAPSHOT_SQL} WHERE txid % 50 < 3')
+def snapshot_visibility(spark, t):
+    return visibilities(log(t).where("txid % 50 < 3"))
+
+
+@query(f'SELECT snapshot_id, "offset", {VISIBLE_SQL} AS visible FROM {CL} l, {SNAPSHOT_SQL}')
+def snapshot_visibility_whole(spark, t):
+    """Every change of the log; snapshot_visibility takes a part of it."""
+    return visibilities(log(t))
+
+
 @query(f"""
 WITH l AS (SELECT "offset", key, txid FROM {CL}), s AS (SELECT * FROM {SNAPSHOT_SQL}),
 retired AS (SELECT snapshot_id, min("offset") AS at FROM s LEFT JOIN l ON txid >= TRY_CAST(xmax AS BIGINT) GROUP BY 1)
@@ -271,10 +280,20 @@ def optimistic_evidence(spark, t):
     return cdc.evidence(log(t).where("op <> 'update'").select("key", "op", F.array("txid").alias("txids")))
 
 
+def unretired(changes: DataFrame, confirmed: DataFrame) -> DataFrame:
+    evidence = lambda rows: cdc.evidence(rows.select("key", "op", F.array("txid").alias("txids")))
+    return cdc.retire_mutations(evidence(changes), evidence(confirmed))
+
+
 @query(f"SELECT key AS row_id, op, txid FROM (SELECT DISTINCT key, op, txid FROM {CL} WHERE key < 50) p WHERE NOT EXISTS (SELECT 1 FROM {CL} s WHERE s.\"offset\" % 2 = 0 AND s.key = p.key AND s.op = p.op AND s.txid = p.txid)")
 def optimistic_retirement(spark, t):
-    pending = cdc.evidence(log(t).where("key < 50").select("key", "op", F.array("txid").alias("txids")))
-    return cdc.retire_mutations(pending, cdc.evidence(log(t).where("offset % 2 = 0").select("key", "op", F.array("txid").alias("txids"))))
+    return unretired(log(t).where("key < 50"), log(t).where("offset % 2 = 0"))
+
+
+@query(f"SELECT key AS row_id, op, txid FROM (SELECT DISTINCT key, op, txid FROM {CL}) p WHERE NOT EXISTS (SELECT 1 FROM {CL} s WHERE s.\"offset\" % 2 = 0 AND s.key = p.key AND s.op = p.op AND s.txid = p.txid)")
+def optimistic_retirement_whole(spark, t):
+    """Mutations of every key; optimistic_retirement takes a part of them."""
+    return unretired(log(t), log(t).where("offset % 2 = 0"))
 
 
 @query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'present_value' WHEN 1 THEN 'explicit_null' ELSE 'absent' END AS k_presence, 'absent' AS z_presence FROM events""")
@@ -396,13 +415,23 @@ def owner_collisions(spark, t):
 # --- streams
 
 
-@query("SELECT event_id, event_id AS n, props || chr(10) || 'x' AS data FROM events WHERE event_id < 500")
-def sse_events(spark, t):
+def wired(events: DataFrame) -> DataFrame:
     wire = F.concat(F.lit(": hi\n\nid: 1\ndata: "), F.col("props"), F.lit("\r\ndata:x\n\n\nevent: e\n\n"))
-    rows = t("events").where("event_id < 500").select("event_id", F.explode(event_data(wire)).alias("data"))
+    rows = events.select("event_id", F.explode(event_data(wire)).alias("data"))
     return rows.select("event_id", F.col("event_id").alias("n"), "data")
 
 
+@query("SELECT event_id, event_id AS n, props || chr(10) || 'x' AS data FROM events WHERE event_id < 500")
+def sse_events(spark, t):
+    return wired(t("events").where("event_id < 500"))
+
+
+@query("SELECT event_id, event_id AS n, props || chr(10) || 'x' AS data FROM events")
+def sse_events_whole(spark, t):
+    """Every event; sse_events takes a part of them."""
+    return wired(t("events"))
+
+
 @query("SELECT reason, count(*)::BIGINT AS messages FROM (SELECT CASE WHEN event_id % 97 = 0 THEN 'schema' WHEN event_id % 89 = 0 THEN 'control' WHEN event_id % 83 = 0 THEN 'tag' WHEN event_id % 79 = 0 THEN 'active_conditions' END AS reason FROM events) WHERE reason IS NOT NULL GROUP BY 1")
 def quarantine_report(spark, t):
     from tidelog.streaming.quarantine import report
