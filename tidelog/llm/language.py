@@ -5,10 +5,11 @@ log-frequency in each language. An unseen word backs off to its character n-gram
 LONGEST down to 1, of which at least one n-gram was seen, and adds the mean over those. The language with the greatest
 sum wins; the score is its posterior when the mean score of a word is sharpened by at most SHARPEN words.
 
-Training counts every word of all training rows in Spark, and the n-grams of every counted word. Known words
-are the WORDS most frequent ones and known n-grams the GRAMS most frequent ones (sizes of the model, which
-bound what is broadcast); what falls outside backs off. N-grams are known by 64-bit hashes, and words of a
-batch are scored together.
+Training counts every word of all training rows in Spark, and the n-grams of every counted word. All of them are
+known; the model stays a pair of tables. Documents are cut into chunks of about CHUNK characters, whose distinct
+words are joined with the scores, and the scores go back to the chunk. Unseen words are backed off once for all
+documents, one length after the other. N-grams, and unseen words while they are backed off, are known by 64-bit
+hashes. train() collects the model for use in one process, where it fits.
 
 Defined cases. Null text, or a text with no letter: `und`, score 0. No training rows: `und`, score 0. One
 language only: that, score 1. Ties: the language first in the alphabet. Training rows with null text or lang
@@ -24,13 +25,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import arrays
 from tidelog.llm.scratch import Scratch
 
-WORDS, GRAMS, LONGEST = 100_000, 50_000, 5
+LONGEST = 5
+CHUNK = 16 << 20
 SHARPEN = 50
 LETTERS = re.compile(r"[^\W\d_]+")
 FLUSH = 200_000  # distinct (language, word) counts held by a task before it hands them on
@@ -100,16 +104,29 @@ class Model:
                 i = get(w)
                 rows.append(i if i is not None else base + own.setdefault(w, len(own)))
         table = np.concatenate([self.scores, self.back_off(list(own))]) if own else self.scores
-        some = np.flatnonzero(sizes)
-        ends = np.cumsum(sizes)
-        picked = table[np.array(rows)]
-        total = np.add.reduceat(picked.astype(np.float64), (ends - sizes)[some], axis=0)
-        best = total.argmax(axis=1)
-        spread = (total - total.max(axis=1, keepdims=True)) * (np.minimum(sizes[some], SHARPEN) / sizes[some])[:, None]
-        scores[some] = 1 / np.exp(np.clip(spread, -700, 0)).sum(axis=1)
-        for i, b in zip(some.tolist(), best.tolist(), strict=True):
-            names[i] = self.langs[b]
+        return _decided(self.langs, table, np.array(rows), sizes)
+
+
+def _decided(langs: list[str], table: np.ndarray, rows: np.ndarray, sizes: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The language and the score of texts of so many words; rows: each word's row of scores in table."""
+    names, scores = ["und"] * len(sizes), np.zeros(len(sizes))
+    some = np.flatnonzero(sizes)
+    if not langs or not len(some):
         return names, scores
+    ends = np.cumsum(sizes)
+    starts, until = (ends - sizes)[some], ends[some]
+    total = np.empty((len(some), len(langs)))
+    a = 0
+    while a < len(some):  # about SLICE words at a time
+        b = max(a + 1, int(np.searchsorted(until, starts[a] + SLICE, "right")))
+        total[a:b] = np.add.reduceat(table[rows[starts[a] : until[b - 1]]].astype(np.float64), starts[a:b] - starts[a], axis=0)
+        a = b
+    best = total.argmax(axis=1)
+    spread = (total - total.max(axis=1, keepdims=True)) * (np.minimum(sizes[some], SHARPEN) / sizes[some])[:, None]
+    scores[some] = 1 / np.exp(np.clip(spread, -700, 0)).sum(axis=1)
+    for i, b in zip(some.tolist(), best.tolist(), strict=True):
+        names[i] = langs[b]
+    return names, scores
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +134,7 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> Iterator[pa.RecordBatch]:
         for lang, words in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words)), pa.array(list(words)), pa.array(list(words.values()), pa.int64())], ["lang", "word", "k"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["lang", "word", "k"])
 
     held: dict[str, Counter] = {}
     size = 0
@@ -145,47 +162,137 @@ def _tally_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 mine = of_word[word] == i
                 keys, place = np.unique(h[mine], return_inverse=True)
                 k = np.bincount(place, times[word[mine]]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(np.full(len(keys), n, np.int32)), pa.array(arrays.signed(keys)), pa.array(k)], ["lang", "n", "h", "k"])
-
-
-def train(docs: DataFrame, words: int = WORDS, most_grams: int = GRAMS) -> Model:
-    """docs: rows with text and lang to learn from."""
-    scratch = Scratch(docs.sparkSession)
-    rows = docs.where("text is not null and lang is not null").select("lang", "text")
-    counted = scratch.save(rows.mapInArrow(_tally, "lang string, word string, k long").groupBy("word", "lang").agg(F.sum("k").alias("k")), "words")
-    langs = sorted(x["lang"] for x in rows.select("lang").distinct().collect())
-    at = {x: i for i, x in enumerate(langs)}
-    grams = counted.mapInArrow(_tally_grams, "lang string, n int, h long, k long").groupBy("n", "h", "lang").agg(F.sum("k").alias("k"))
-
-    def top(of: DataFrame, keys: list[str], most: int) -> dict[tuple, np.ndarray]:
-        each = of.groupBy(*keys).agg(F.sum("k").alias("k"), F.collect_list(F.struct("lang", "k")).alias("by"))  # one entry per language
-        got = each.orderBy(F.desc("k"), *keys).limit(most).select(*keys, "by").toArrow()
-        found = {}
-        for *key, by in zip(*(got[c].to_pylist() for c in (*keys, "by")), strict=True):
-            v = np.zeros(len(langs))
-            for x in by:
-                v[at[x["lang"]]] = x["k"]
-            found[tuple(key)] = v
-        return found
-
-    def smoothed(counts: list[np.ndarray]) -> np.ndarray:
-        v = np.array(counts).reshape(len(counts), len(langs))
-        return np.log((v + 0.5) / (v.sum(axis=0) + 0.5 * len(v)))
-
-    known = top(counted, ["word"], words)
-    parts = top(grams, ["n", "h"], most_grams)
-    scratch.drop(counted)
-    by_n, vectors = {}, list(parts.values())
-    for n in range(1, LONGEST + 1):
-        own = sorted((h % (1 << 64), i) for i, (m, h) in enumerate(parts) if m == n)
-        if own:
-            by_n[n] = (np.array([h for h, _ in own], np.uint64), smoothed([vectors[i] for _, i in own]).astype(np.float32))
-    return Model(langs, dict(zip((w for (w,) in known), smoothed(list(known.values())), strict=True)) if known else {}, by_n)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(np.full(len(keys), n, np.int32)), pa.array(arrays.signed(keys)), pa.array(k)], ["lang", "n", "h", "k"])
+
+
+class Counts:
+    """The model as tables: words (word, by) and grams (n, h, by), by: counts of each language; sizes and sums for smoothing."""
+
+    def __init__(self, docs: DataFrame, scratch: Scratch) -> None:
+        rows = docs.where("text is not null and lang is not null").select("lang", "text")
+        by = F.collect_list(F.struct("lang", "k")).alias("by")  # one entry per language
+        counted = scratch.save(rows.mapInArrow(_tally, "lang string, word string, k long").groupBy("word", "lang").agg(F.sum("k").alias("k")), "words")
+        self.langs = sorted(x["lang"] for x in rows.select("lang").distinct().collect())
+        self.words = counted.groupBy("word").agg(by)
+        parts = counted.mapInArrow(_tally_grams, "lang string, n int, h long, k long").groupBy("n", "h", "lang").agg(F.sum("k").alias("k"))
+        self.grams = scratch.save(parts.groupBy("n", "h").agg(by), "grams")
+        sums = lambda df, *n: df.groupBy(*n, "lang").agg(F.sum("k").alias("k")).collect()
+        self.word_sums = {x["lang"]: x["k"] for x in sums(counted)}
+        self.word_count = counted.select("word").distinct().count()
+        self.gram_sums = {(x["n"], x["lang"]): x["k"] for x in sums(self.grams.select("n", F.inline("by")), "n")}
+        self.gram_count = {x["n"]: x["count"] for x in self.grams.groupBy("n").count().collect()}
+
+    def _scores(self, size: int, total) -> Column:
+        """Smoothed log-frequencies in each language, from the column `by`."""
+        known = F.map_from_entries("by")
+        each = (F.log(F.coalesce(F.try_element_at(known, F.lit(x)), F.lit(0)) + 0.5) - F.lit(float(np.log(total(x) + 0.5 * size))) for x in self.langs)
+        return F.array(*(c.cast("float") for c in each))
+
+    def word_scores(self) -> DataFrame:
+        return self.words.select("word", self._scores(self.word_count, lambda x: self.word_sums.get(x, 0)).alias("v"))
+
+    def gram_scores(self, n: int) -> DataFrame:
+        return self.grams.where(F.col("n") == n).select("h", self._scores(self.gram_count.get(n, 0), lambda x: self.gram_sums.get((n, x), 0)).alias("v"))
+
+
+def train(docs: DataFrame) -> Model:
+    """The whole model in this process; docs: rows with text and lang to learn from."""
+    counts = Counts(docs, Scratch(docs.sparkSession))
+    if not counts.langs:
+        return Model([], {}, {})
+    words = {x["word"]: np.array(x["v"], np.float32) for x in counts.word_scores().collect()}
+    by_n = {}
+    for n in counts.gram_count:
+        own = sorted((x["h"] % (1 << 64), x["v"]) for x in counts.gram_scores(n).collect())
+        by_n[n] = (np.array([h for h, _ in own], np.uint64), np.array([v for _, v in own], np.float32))
+    return Model(counts.langs, words, by_n)
+
+
+CHUNKS = "chunk long, ids array<long>, held array<boolean>, sizes binary, rows binary, words array<string>"
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """CHUNKS rows: documents as rows of the chunk's list of distinct words."""
+    press, part, serial = zstandard.ZstdCompressor(level=3), TaskContext.get().partitionId(), 0
+    names = [x.split()[0] for x in CHUNKS.split(", ")]
+
+    def flush() -> pa.RecordBatch:
+        packed = [press.compress(b"".join(x.tobytes() for x in y)) for y in ([np.array(sizes, np.int64)], rows)]
+        columns = [pa.array([(part << 32) + serial], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), *(pa.array([x], pa.binary()) for x in packed), pa.array([list(own)], pa.list_(pa.string()))]
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    ids, held, sizes, rows, own, size = [], [], [], [], {}, 0
+    for batch in batches:
+        for doc, out, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text")), strict=True):
+            found = LETTERS.findall(text.lower()) if text else []
+            ids.append(doc)
+            held.append(out)
+            sizes.append(len(found))
+            rows.append(np.array([own.setdefault(w, len(own)) for w in found], np.int32))
+            size += len(text or "") + 64
+            if size >= CHUNK:
+                yield flush()
+                ids, held, sizes, rows, own, size, serial = [], [], [], [], {}, 0, serial + 1
+    if ids:
+        yield flush()
+
+
+def _grams_of(n: int):
+    """(w, h) of every n-gram of distinct words; w: a hash of the word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                word, h = WordList(batch.column("word").to_pylist()).grams(n)
+                yield pa.RecordBatch.from_arrays([batch.column("w").take(pa.array(word)), pa.array(arrays.signed(h))], ["w", "h"])
+
+    return run
+
+
+def back_off(words: DataFrame, counts: Counts, scratch: Scratch) -> DataFrame:
+    """word, v: scores of unseen distinct words; words without a seen n-gram are left out."""
+    left, out = scratch.save(words.select("word", F.xxhash64("word").alias("w")), "unseen"), None
+    for n in range(LONGEST, 0, -1):
+        hits = left.mapInArrow(_grams_of(n), "w long, h long").join(counts.gram_scores(n), "h")
+        means = hits.groupBy("w").agg(*(F.avg(F.col("v")[i]).cast("float").alias(f"v{i}") for i in range(len(counts.langs))))
+        found = scratch.save(left.join(means.select("w", F.array(*(f"v{i}" for i in range(len(counts.langs)))).alias("v")), "w", "left"), "backed-off")
+        own = found.where("v is not null").select("word", "v")
+        out = own if out is None else out.unionByName(own)
+        left = found.where("v is null").select("word", "w")
+    return out
+
+
+def identified(docs: DataFrame, counts: Counts, scratch: Scratch) -> DataFrame:
+    """As predict(), with the model in tables."""
+    schema = "doc_id long, held_out boolean, lang_pred string, score double"
+    if not counts.langs:
+        return predict(docs, Model([], {}, {}))
+    chunks = scratch.save(docs.select("doc_id", "held_out", "text").mapInArrow(_chunks, CHUNKS), "chunks")
+    pairs = chunks.select("chunk", F.posexplode("words").alias("i", "word"))
+    known = counts.word_scores()
+    unseen = pairs.select("word").distinct().join(known, "word", "left_anti")
+    scores = known.unionByName(back_off(unseen, counts, scratch))
+    scored = pairs.join(scores, "word").select(F.col("chunk").alias("of"), "i", "v")
+    langs = counts.langs
+
+    def run(chunk: pa.Table, found: pa.Table) -> pa.Table:
+        un = zstandard.ZstdDecompressor()
+        sizes, rows = (np.frombuffer(un.decompress(chunk[c][0].as_py()), kind) for c, kind in (("sizes", np.int64), ("rows", np.int32)))
+        table = np.zeros((chunk["n_words"][0].as_py(), len(langs)), np.float32)  # words with nothing seen stay 0
+        if found.num_rows:
+            v = found["v"].combine_chunks()
+            v = v.chunk(0) if isinstance(v, pa.ChunkedArray) else v
+            table[found["i"].to_numpy()] = v.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(langs))
+        names, best = _decided(langs, table, rows, sizes)
+        return pa.table([pa.array(chunk["ids"][0].as_py(), pa.int64()), pa.array(chunk["held"][0].as_py(), pa.bool_()), pa.array(names, pa.string()), pa.array(best, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+
+    bodies = chunks.select("chunk", "ids", "held", "sizes", "rows", F.size("words").alias("n_words"))
+    return bodies.groupBy("chunk").cogroup(scored.groupBy("of")).applyInArrow(run, schema)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score; docs: doc_id, held_out and text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most WORDS + GRAMS entries
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # of one process; identified() needs no broadcast
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,4 +307,5 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     docs = docs.withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False)))
-    return predict(docs, train(docs.where("not held_out")))
+    scratch = Scratch(spark)
+    return identified(docs, Counts(docs.where("not held_out"), scratch), scratch)
