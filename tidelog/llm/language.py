@@ -34,7 +34,7 @@ from tidelog.llm import arrays
 from tidelog.llm.scratch import Scratch
 
 LONGEST = 5
-CHUNK = 16 << 20
+CHUNK = 32 << 20
 SHARPEN = 50
 LETTERS = re.compile(r"[^\W\d_]+")
 FLUSH = 200_000  # distinct (language, word) counts held by a task before it hands them on
@@ -171,16 +171,19 @@ class Counts:
     def __init__(self, docs: DataFrame, scratch: Scratch) -> None:
         rows = docs.where("text is not null and lang is not null").select("lang", "text")
         by = F.collect_list(F.struct("lang", "k")).alias("by")  # one entry per language
-        counted = scratch.save(rows.mapInArrow(_tally, "lang string, word string, k long").groupBy("word", "lang").agg(F.sum("k").alias("k")), "words")
+        counted = rows.mapInArrow(_tally, "lang string, word string, k long").repartition("word").groupBy("word", "lang").agg(F.sum("k").alias("k"))
+        self.words = scratch.save(counted.groupBy("word").agg(by), "words")
+        scratch.release()
         self.langs = sorted(x["lang"] for x in rows.select("lang").distinct().collect())
-        self.words = counted.groupBy("word").agg(by)
+        counted = self.words.select("word", F.inline("by"))
         parts = counted.mapInArrow(_tally_grams, "lang string, n int, h long, k long").groupBy("n", "h", "lang").agg(F.sum("k").alias("k"))
         self.grams = scratch.save(parts.groupBy("n", "h").agg(by), "grams")
         sums = lambda df, *n: df.groupBy(*n, "lang").agg(F.sum("k").alias("k")).collect()
         self.word_sums = {x["lang"]: x["k"] for x in sums(counted)}
-        self.word_count = counted.select("word").distinct().count()
+        self.word_count = self.words.count()
         self.gram_sums = {(x["n"], x["lang"]): x["k"] for x in sums(self.grams.select("n", F.inline("by")), "n")}
         self.gram_count = {x["n"]: x["count"] for x in self.grams.groupBy("n").count().collect()}
+        scratch.release()
 
     def _scores(self, size: int, total) -> Column:
         """Smoothed log-frequencies in each language, from the column `by`."""
@@ -252,13 +255,16 @@ def _grams_of(n: int):
 def back_off(words: DataFrame, counts: Counts, scratch: Scratch) -> DataFrame:
     """word, v: scores of unseen distinct words; words without a seen n-gram are left out."""
     left, out = scratch.save(words.select("word", F.xxhash64("word").alias("w")), "unseen"), None
+    scratch.release()
     for n in range(LONGEST, 0, -1):
         hits = left.mapInArrow(_grams_of(n), "w long, h long").join(counts.gram_scores(n), "h")
         means = hits.groupBy("w").agg(*(F.avg(F.col("v")[i]).cast("float").alias(f"v{i}") for i in range(len(counts.langs))))
         found = scratch.save(left.join(means.select("w", F.array(*(f"v{i}" for i in range(len(counts.langs)))).alias("v")), "w", "left"), "backed-off")
         own = found.where("v is not null").select("word", "v")
         out = own if out is None else out.unionByName(own)
+        scratch.drop(left)
         left = found.where("v is null").select("word", "w")
+        scratch.release()
     return out
 
 
