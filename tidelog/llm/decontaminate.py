@@ -15,7 +15,7 @@ The items travel to the tasks in portions of about ITEM_BYTES of text (their siz
 benchmark takes one pass over the documents for each portion.
 
 Defined cases. Null or empty texts on either side: no match. Items of fewer than K words: one shingle, all
-their words. Empty benchmark or documents: no rows. Repeated document rows: each matches; repeated items each
+their words. Texts of fewer words than an item: one window, all their words. Empty benchmark or documents: no rows. Repeated document rows: each matches; repeated items each
 count under their own id. Null ids stay null. Further columns are ignored. Texts are never cut.
 """
 
@@ -57,7 +57,8 @@ def _pack(votes: np.ndarray) -> np.ndarray:
 class Items:
     """The benchmark side: shingles, weights, fingerprints and the multi-index."""
 
-    def __init__(self, ids: list, texts: list[str]) -> None:
+    def __init__(self, ids: list, texts: list[str], shared: tuple[int, np.ndarray, np.ndarray] | None = None) -> None:
+        """shared: of a larger benchmark that these are a portion of, the number of items, and the shingles of several items with their number."""
         self.ids: list = []
         self.grams: list[np.ndarray] = []  # shingle hashes in order
         self.sizes: list[int] = []
@@ -73,9 +74,9 @@ class Items:
                 self.grams.append(arrays.windows(own, k))
                 self.sizes.append(len(own))
                 self.k.append(k)
-        n = max(1, len(self.ids))
+        n = max(1, len(self.ids)) if shared is None else shared[0]
         distinct, times = np.unique(np.concatenate([np.unique(g) for g in self.grams]) if self.grams else np.zeros(0, np.uint64), return_counts=True)
-        self.shingles, self.weight = distinct, np.log1p(n / times) if len(times) else np.zeros(0)
+        self.shingles, self.weight = (distinct, np.log1p(n / times)) if shared is None else (shared[1], np.log1p(n / shared[2]))
         self.unseen = float(np.log1p(n))  # the weight of a shingle of no item
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.table[(distinct >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
@@ -152,7 +153,7 @@ def search(items: Items, data: np.ndarray, offsets: np.ndarray) -> Iterator[tupl
             base = np.unique(np.stack([start[take], first[take], last[take]], axis=1), axis=0)
             starts = (base[:, :1] + np.arange(-SLACK, SLACK + 1)).ravel()
             f, e = np.repeat(base[:, 1], 2 * SLACK + 1), np.repeat(base[:, 2], 2 * SLACK + 1)
-            # a text shorter than the window, or a start over its edge: the window nearest inside
+            # a start over the text's edge: the window nearest inside
             starts = np.clip(starts, f, np.maximum(f, e - size))
             length = np.minimum(size, e - starts)
             starts = np.unique(starts[length == size])
@@ -170,6 +171,16 @@ def search(items: Items, data: np.ndarray, offsets: np.ndarray) -> Iterator[tupl
                         got = (s, -d, -(at - int(np.searchsorted(doc, t, "left"))), int(size))
                         if got > best.get((t, i), (-1.0, 0, 0, 0)):
                             best[t, i] = got
+        # a text shorter than an item: one window, all its words
+        short = np.unique(np.stack([first, last], axis=1)[ok & (last - first < sizes)], axis=0)
+        for size in np.unique(short[:, 1] - short[:, 0]):
+            starts = short[short[:, 1] - short[:, 0] == size, 0]
+            for a in range(0, len(starts), 256):
+                part = starts[a : a + 256]
+                rows = grams[part[:, None] + np.arange(int(size) - k + 1)]
+                for r, i, d in items.within(items.fingerprint(rows)):
+                    if items.sizes[i] > size and items.k[i] == k and (s := items.similarity(rows[r], i)) >= THRESHOLD:
+                        best[int(doc[part[r]]), i] = (s, -d, 0, int(size))
         for (t, i), (s, d, at, size) in best.items():
             yield t, i, s, -d, -at, size
 
@@ -190,9 +201,29 @@ def portions(benchmark: DataFrame) -> Iterator[Items]:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-size // ITEM_BYTES) or 1
+    shared = _shared(items) if count > 1 else None
     for portion in range(count):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == portion).toArrow().sort_by([("item_id", "ascending"), ("text", "ascending")])
-        yield Items(own["item_id"].to_pylist(), own["text"].to_pylist())
+        yield Items(own["item_id"].to_pylist(), own["text"].to_pylist(), shared)
+
+
+def _shared(items: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """The number of items with words; the shingles of several items, ascending, and of how many. All others weigh as those of no item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in arrays.slices(batch.column("text")):
+                doc, h = _words(data, offsets)
+                own = [np.unique(arrays.windows(x, min(K, len(x)))) for i in range(end - first) if len(x := h[doc == i])]
+                if own:
+                    yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(np.concatenate(own))), pa.array(np.concatenate([np.arange(len(x)) == 0 for x in own]))], ["h", "leads"])
+
+    grams = items.select("text").mapInArrow(run, "h long, leads boolean")
+    n = grams.where("leads").count()
+    several = grams.groupBy("h").count().where("count > 1").toArrow()
+    h = several["h"].to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    return max(1, n), h[order], several["count"].to_numpy()[order]
 
 
 def without_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
