@@ -2,12 +2,13 @@
 
 Base spans are `email`, `ip`, `card` (12 to 19 digits that pass Luhn) and `phone`. Each distinct base value is
 a protected entity c. A term t discloses c when knowing t gives away most of what c says: with probabilities
-counted over the documents of the whole corpus, PMI(t, c) >= ALPHA * IC(c), where
-PMI = log(n(t,c) N / (n(t) n(c))) and IC = -log(n(c) / N). n(t,c) counts the distinct contexts (CONTEXT code
-points on either side of a mention, cut at words) of c that hold t, n(t) the documents that hold t, n(c) the
-distinct contexts of c; t must stand in SUPPORT distinct contexts at least, because a word met once tells
-nothing of co-occurrence. Copies of one passage are one context. Disclosing terms become `term` spans where
-they stand beside c; sanitise() generalises them (to the class of their shape) and removes the base values.
+counted over the distinct texts of the whole corpus, PMI(t, c) >= ALPHA * IC(c), where
+PMI = log(n(t,c) N / (n(t) n(c))) and IC = -log(n(c) / N). N counts the distinct texts (copies are one), n(t) and
+n(c) those that hold t or c, n(t,c) those that hold both, at any distance; terms are WORD matches of three code
+points or more outside base spans. Among the texts of n(t,c), c must stand in SUPPORT distinct contexts at least
+(the first by hash of each text; CONTEXT code points on either side, cut at words), because a word met once tells
+nothing of co-occurrence and a passage copied into several texts is met once. Disclosing terms become `term` spans wherever
+they stand, in texts that do not hold c too; sanitise() generalises them (to the class of their shape) and removes the base values.
 
 Defined cases. Null text: as empty, no spans and the digest of the empty string. Empty table: no rows.
 Repeated rows: each gets its own result row. Further columns of the input are ignored. Texts are never cut.
@@ -63,47 +64,52 @@ def entity_of(span: Column) -> Column:
     return F.concat_ws(":", span["kind"], F.when(span["kind"].isin("card", "phone"), digits_of(span["value"])).otherwise(F.lower(span["value"])))
 
 
-def mentions(rows: DataFrame) -> DataFrame:
-    """One row per term of the context of each base span: doc_id, mark, entity, context (a hash), term, start, end."""
-    found = rows.select("doc_id", "mark", "text", F.explode("base").alias("s"))
+def terms_of(text: Column, base: Column) -> Column:
+    """The distinct terms of a text, outside its base spans."""
+    bare = replace(text, base, lambda _: F.lit(" "))
+    return F.array_distinct(F.transform(F.filter(F.regexp_extract_all(bare, F.lit(WORD), F.lit(0)), lambda m: F.length(m) >= 3), F.lower))
+
+
+def contexts(texts: DataFrame) -> DataFrame:
+    """mark, entity, context: each text's entities, each with the smallest hash of what stands around it there."""
+    found = texts.select("mark", "text", F.explode("base").alias("s"))
     start, end = F.col("s.start"), F.col("s.end")
     left_at = F.greatest(start - CONTEXT, F.lit(0))
-    sides = found.select(
-        "doc_id", "mark", entity_of(F.col("s")).alias("entity"),
-        F.array(
-            F.struct(left_at.alias("at"), F.regexp_replace(F.substring("text", left_at + 1, start - left_at), r"^[\p{L}\p{N}'’-]+", "").alias("side"), (start).alias("until")),
-            F.struct(end.alias("at"), F.regexp_replace(F.substring("text", end + 1, F.lit(CONTEXT)), r"[\p{L}\p{N}'’-]+$", "").alias("side"), F.lit(None).cast("int").alias("until")),
-        ).alias("sides"),
-    )
-    marked = sides.withColumn("context", F.xxhash64("entity", F.col("sides")[0]["side"], F.col("sides")[1]["side"]))
-    each = marked.select("doc_id", "mark", "entity", "context", F.explode("sides").alias("x"))
-    each = each.withColumn("at", F.when(F.col("x.until").isNotNull(), F.col("x.until") - F.length("x.side")).otherwise(F.col("x.at"))).withColumn("side", F.col("x.side"))
-    words = each.select("doc_id", "mark", "entity", "context", "at", F.explode(spans(F.col("side"), WORD, "term", 4, keep=lambda m: F.length(m) >= 3)).alias("w"))
-    return words.select("doc_id", "mark", "entity", "context", F.lower("w.value").alias("term"), (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"), F.col("w.value").alias("value"))
-
-
-def disclosing(rows: DataFrame, near: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
-    """(term, entity) pairs over the threshold, from counts over every document of rows."""
-    contexts = near.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
-    pairs = near.select("term", "entity", "context").distinct().groupBy("term", "entity").agg(F.count("*").alias("n_tc")).where(F.col("n_tc") >= support)
-    terms = rows.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}'’-]+"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    total = rows.agg(F.count("*").cast("double").alias("n"))
-    scored = pairs.join(terms, "term").join(contexts, "entity").withColumn("n", total.scalar())
+    left = F.regexp_replace(F.substring("text", left_at + 1, start - left_at), r"^[\p{L}\p{N}'’-]+", "")
+    right = F.regexp_replace(F.substring("text", end + 1, F.lit(CONTEXT)), r"[\p{L}\p{N}'’-]+$", "")
+    return found.select("mark", entity_of(F.col("s")).alias("entity"), F.xxhash64(left, right).alias("context")).groupBy("mark", "entity").agg(F.min("context").alias("context"))
+
+
+def disclosing(based: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
+    """(term, entity) pairs over the threshold, from counts over every distinct text of based (mark, text, base)."""
+    texts = based.select("mark", "text", "base")
+    held = contexts(texts.where(F.size("base") > 0))
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_c"), F.countDistinct("context").alias("n_contexts")).where(F.col("n_contexts") >= support).drop("n_contexts")
+    words = texts.select("mark", F.explode(terms_of(F.col("text"), F.col("base"))).alias("term"))
+    sides = held.join(entities, "entity").select("mark", "entity", "context")  # of other entities no term can have the support
+    beside = texts.where(F.size("base") > 0).join(sides.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
+    near = beside.select("mark", F.explode(terms_of(F.col("text"), F.col("base"))).alias("term")).join(sides, "mark")
+    pairs = near.groupBy("term", "entity").agg(F.count("*").alias("n_tc"), F.countDistinct("context").alias("n_contexts")).where(F.col("n_contexts") >= support)
+    asked = pairs.select("term").distinct()
+    terms = words.join(asked, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    total = based.select("mark").distinct().agg(F.count("*").cast("double").alias("n"))
+    scored = pairs.join(terms, "term").join(entities, "entity").withColumn("n", total.scalar())
     pmi = F.log(F.col("n_tc") * F.col("n") / (F.col("n_t") * F.col("n_c")))
-    return scored.where(pmi >= alpha * F.log(F.col("n") / F.col("n_c"))).select("term", "entity")
+    return scored.where(pmi >= alpha * F.log(F.col("n") / F.col("n_c")) - 1e-9).select("term", "entity")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, support: int = SUPPORT, carry: Column | None = None) -> DataFrame:
     """doc_id, text, base (spans), found (base and term spans) and carry (a column to take along) for every row of docs."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), (F.lit(None) if carry is None else carry).alias("carry")).withColumn("mark", F.xxhash64("text"))
     based = rows.withColumn("base", base_spans(F.col("text")))
-    near = mentions(based.drop("carry"))
-    pairs = disclosing(rows, near, alpha, support)
-    added = near.join(pairs, ["term", "entity"]).groupBy("doc_id", "mark").agg(F.collect_set(F.struct("start", F.lit(4).alias("rank"), "end", F.lit("term").alias("kind"), "value")).alias("more"))
-    added = added.select(F.col("doc_id").alias("added_id"), F.col("mark").alias("added_mark"), "more")
+    terms = disclosing(based, alpha, support).select("term").distinct()
+    words = based.select("doc_id", "mark", F.explode(terms_of(F.col("text"), F.col("base"))).alias("term"))
+    added = words.join(terms, "term").groupBy("doc_id", "mark").agg(F.collect_set("term").alias("terms"))
+    added = added.select(F.col("doc_id").alias("added_id"), F.col("mark").alias("added_mark"), "terms")
     joined = based.join(added, F.col("doc_id").eqNullSafe(F.col("added_id")) & (F.col("mark") == F.col("added_mark")), "left")
     inside = lambda s: F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    more = F.filter(F.coalesce(F.col("more").cast(SPAN), no_spans()), lambda s: ~inside(s))
+    places = spans(F.col("text"), WORD, "term", 4, keep=lambda m: F.array_contains("terms", F.lower(m)), hint=F.col("terms").isNotNull())
+    more = F.filter(places, lambda s: ~inside(s))
     return joined.select("doc_id", "text", "base", F.concat("base", more).alias("found"), "carry")
 
 
