@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.llm.scratch import Scratch
 from tidelog.llm.spans import SPAN, count_of, digest, listed, no_spans, replace, spans
 
 #: The base patterns, with possessive repetition where what follows cannot match what it took.
@@ -80,31 +81,36 @@ def contexts(texts: DataFrame) -> DataFrame:
     return found.select("mark", entity_of(F.col("s")).alias("entity"), F.xxhash64(left, right).alias("context")).groupBy("mark", "entity").agg(F.min("context").alias("context"))
 
 
-def disclosing(based: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
-    """(term, entity) pairs over the threshold, from counts over every distinct text of based (mark, text, base)."""
-    texts = based.select("mark", "text", "base")
-    held = contexts(texts.where(F.size("base") > 0))
+def disclosing(rows: DataFrame, scratch: Scratch, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
+    """doc_id, mark, terms: the disclosing terms that each row (doc_id, mark, text) holds, from counts over every distinct text.
+
+    What texts are joined with is written first, so that Spark knows its size and texts are not shuffled where it is small.
+    """
+    based = lambda df: df.select("doc_id", "mark", "text", base_spans(F.col("text")).alias("base"))
+    words = lambda df: based(df).select("doc_id", "mark", F.explode(terms_of(F.col("text"), F.col("base"))).alias("term"))
+    held = scratch.save(contexts(based(rows)), "held")
     entities = held.groupBy("entity").agg(F.count("*").alias("n_c"), F.countDistinct("context").alias("n_contexts")).where(F.col("n_contexts") >= support).drop("n_contexts")
-    words = texts.select("mark", F.explode(terms_of(F.col("text"), F.col("base"))).alias("term"))
-    sides = held.join(entities, "entity").select("mark", "entity", "context")  # of other entities no term can have the support
-    beside = texts.where(F.size("base") > 0).join(sides.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"])
-    near = beside.select("mark", F.explode(terms_of(F.col("text"), F.col("base"))).alias("term")).join(sides, "mark")
-    pairs = near.groupBy("term", "entity").agg(F.count("*").alias("n_tc"), F.countDistinct("context").alias("n_contexts")).where(F.col("n_contexts") >= support)
-    asked = pairs.select("term").distinct()
-    terms = words.join(asked, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    total = based.select("mark").distinct().agg(F.count("*").cast("double").alias("n"))
+    sides = scratch.save(held.join(entities, "entity").select("mark", "entity", "context"), "sides")  # of other entities no term can have the support
+    near = words(rows.join(sides.select("mark").distinct(), "mark", "left_semi")).select("mark", "term").join(sides, "mark")
+    pairs = near.groupBy("term", "entity").agg(F.countDistinct("mark").alias("n_tc"), F.countDistinct("context").alias("n_contexts")).where(F.col("n_contexts") >= support)
+    pairs = scratch.save(pairs, "pairs")
+    asked = scratch.save(pairs.select("term").distinct(), "asked")
+    uses = scratch.save(words(rows).join(asked, "term"), "uses")
+    terms = uses.select("mark", "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+    total = rows.select("mark").distinct().agg(F.count("*").cast("double").alias("n"))
     scored = pairs.join(terms, "term").join(entities, "entity").withColumn("n", total.scalar())
     pmi = F.log(F.col("n_tc") * F.col("n") / (F.col("n_t") * F.col("n_c")))
-    return scored.where(pmi >= alpha * F.log(F.col("n") / F.col("n_c")) - 1e-9).select("term", "entity")
+    told = scratch.save(scored.where(pmi >= alpha * F.log(F.col("n") / F.col("n_c")) - 1e-9).select("term").distinct(), "told")
+    return scratch.save(uses.join(told, "term").groupBy("doc_id", "mark").agg(F.collect_set("term").alias("terms")), "terms")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, support: int = SUPPORT, carry: Column | None = None) -> DataFrame:
     """doc_id, text, base (spans), found (base and term spans) and carry (a column to take along) for every row of docs."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), (F.lit(None) if carry is None else carry).alias("carry")).withColumn("mark", F.xxhash64("text"))
     based = rows.withColumn("base", base_spans(F.col("text")))
-    terms = disclosing(based, alpha, support).select("term").distinct()
-    words = based.select("doc_id", "mark", F.explode(terms_of(F.col("text"), F.col("base"))).alias("term"))
-    added = words.join(terms, "term").groupBy("doc_id", "mark").agg(F.collect_set("term").alias("terms"))
+    scratch = Scratch(docs.sparkSession)
+    added = disclosing(rows.drop("carry"), scratch, alpha, support)
+    scratch.release()
     added = added.select(F.col("doc_id").alias("added_id"), F.col("mark").alias("added_mark"), "terms")
     joined = based.join(added, F.col("doc_id").eqNullSafe(F.col("added_id")) & (F.col("mark") == F.col("added_mark")), "left")
     inside = lambda s: F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
