@@ -9,7 +9,9 @@ scores are combined by Stouffer's sum of one-sided departures; the null hypothes
 uniformly random, so ordinary words and paths are what is rejected. Rejections are held to a false
 discovery rate by Benjamini and Hochberg's rule over all runs of the corpus, with each p-value weighed by
 the run's length against the mean length (weighted rule; long runs have more power). A run that survives
-is reported where it has at least MIN_LENGTH symbols, below which the tests cannot reject anything.
+is reported where it has at least MIN_LENGTH symbols, below which the tests cannot reject anything. A run that holds
+both + or / and - or _ fits no alphabet: its parts between / and + are tested and its parts between - and _; a part
+that survives within another that does is not reported.
 
 The ranking needs no sort of runs: p-values are counted in STEPS bins, and the rule is exact on binned
 values. Only that table of STEPS rows at most is ordered; one threshold comes back.
@@ -31,6 +33,8 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}+"
 RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+={0,2}"
+#: The same with two of the four separators.
+RUN_OF = r"(?<![A-Za-z0-9{0}])(?=[A-Za-z{0}]*+[0-9])(?=[0-9{0}]*+[A-Za-z])[A-Za-z0-9{0}]{{20,}}+={{0,2}}"
 KINDS = ("assign", "access", "hex", "random")
 MIN_LENGTH = 20
 STEPS = 10_000
@@ -63,6 +67,14 @@ def run_spans(text: Column) -> Column:
     return spans(text, RUN, "random", 3)
 
 
+def segments(run: Column) -> Column:
+    """The spans to test of a run: itself, or where it fits no alphabet, its parts between / and + and its parts between - and _."""
+    value, at = run["value"], run["start"]
+    parts = F.array_distinct(F.concat(spans(value, RUN_OF.format("_-"), "random", 3), spans(value, RUN_OF.format("+/"), "random", 3)))
+    moved = F.transform(parts, lambda x: F.struct((x["start"] + at).alias("start"), x["rank"].alias("rank"), (x["end"] + at).alias("end"), x["kind"].alias("kind"), x["value"].alias("value")))
+    return F.when(value.rlike("[+/]") & value.rlike("[_-]"), moved.cast(SPAN)).otherwise(F.array(run).cast(SPAN))
+
+
 def normal_tail(z: Column) -> Column:
     """P(Z > z) for a standard normal: the rational approximation 26.2.17 of Abramowitz and Stegun (error below 1e-7)."""
     x = F.abs(z)
@@ -137,10 +149,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: f
     """id, text, base (spans), found (base and random spans) for every row of docs."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("mark", F.xxhash64("text"))
-    runs = rows.select("doc_id", "mark", F.explode(run_spans(F.col("text"))).alias("s")).select("doc_id", "mark", "s", F.col("s.value").alias("value")).distinct()
+    runs = rows.select("doc_id", "mark", F.explode(run_spans(F.col("text"))).alias("run"))
+    runs = runs.select("doc_id", "mark", F.col("run.start").alias("of"), F.explode(segments(F.col("run"))).alias("s")).select("doc_id", "mark", "of", "s", F.col("s.value").alias("value")).distinct()
     runs = Scratch(docs.sparkSession).save(runs, "runs")  # few and short; the texts are searched once
     kept = controlled(tested(runs), fdr)
-    added = kept.groupBy("doc_id", "mark").agg(F.collect_list("s").alias("more"))
+    parts = kept.groupBy("doc_id", "mark", "of").agg(F.collect_list("s").alias("parts"))
+    within = lambda x: F.exists("parts", lambda y: (y["start"] <= x["start"]) & (y["end"] >= x["end"]) & (y["end"] - y["start"] > x["end"] - x["start"]))
+    parts = parts.select("doc_id", "mark", F.filter("parts", lambda x: ~within(x)).alias("parts"))
+    added = parts.groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("parts")).alias("more"))
     added = added.select(F.col("doc_id").alias("added_id"), F.col("mark").alias("added_mark"), "more")
     base = rows.withColumn("base", base_spans(F.col("text")))
     joined = base.join(added, F.col("doc_id").eqNullSafe(F.col("added_id")) & (F.col("mark") == F.col("added_mark")), "left")
