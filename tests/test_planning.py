@@ -7,7 +7,7 @@ from tidelog.functions.predicates import FALSE, And, Compare, In, PredicateError
 from tidelog.plans.coverage import Cursor, DedupLoader, Entry, Query, coalesces, compute_missing, demand_order, is_bounded, is_finite, records_coverage, scoped_key
 from tidelog.plans.subset import subset
 from tidelog.sources.changelog import EventParser, PagedRead, SourceError, decode_header_error, starting_options
-from tidelog.streaming.breaker import CircuitBreaker
+from tidelog.streaming.breaker import CircuitBreaker, supervised
 from tidelog.streaming.metadata import Metadata, SyncState, adopt, epoch_fence, latch_topology, needs_bootstrap, shape_identity
 from tidelog.streaming.store import GenerationTable
 
@@ -88,7 +88,11 @@ def test_event_parser():
         p, out = EventParser(), []
         for i in range(0, len(data), step):
             out += p.feed(data[i : i + step])
-        assert out + p.finish() == ["a\nb", " c", ""]
+        assert out + p.finish() == ["a\nb", " c"]  # a bare field and a line without an end say nothing
+    p = EventParser()
+    assert p.feed(b"data: x\ndata:y") == [] and p.finish() == ["x"]
+    with pytest.raises(UnicodeDecodeError):
+        EventParser().feed(b"data: \xff\n")
 
 
 def test_paged_read():
@@ -107,14 +111,31 @@ def test_paged_read():
 def test_breaker():
     now = [0.0]
     b = CircuitBreaker(clock=lambda: now[0], chance=lambda a, c: 1.0)
-    assert b.failed("x") == 0 and b.failed("y") == 0 and b.failed("z") == 2.0 and b.is_open
+    assert b.failed("x") == 0.5 and b.failed("y") == 1.0 and not b.is_open and b.failed("z") == 2.0 and b.is_open and b.wait() == 2
     now[0] = 3
-    assert not b.is_open
-    for _ in range(5):
-        b.failed("same")
-    assert b.wait() == 30
+    assert not b.is_open and b.wait() == 0 and b.half_open
+    b.succeeded()
+    assert [b.failed("same") for _ in range(5)] == [0.5, 1, 2, 4, 30] and b.wait() == 30
     b.succeeded()
     assert not b.is_open and b.failures == 0
+    late = CircuitBreaker(clock=lambda: now[0], chance=lambda a, c: 1.5)
+    assert [late.failed(str(i)) for i in range(9)][-3:] == [30.0, 30.0, 30.0]  # jitter never passes the limit
+
+
+def test_supervised_restarts():
+    class Run:
+        left = 2
+
+        def awaitTermination(self):
+            Run.left -= 1
+            if Run.left >= 0:
+                raise RuntimeError("lost")
+
+    slept = []
+    assert supervised(Run, CircuitBreaker(clock=lambda: 0.0, chance=lambda a, c: 1.0), sleep=slept.append) == 2 and slept == [0, 0.5, 0, 1.0, 0]
+    Run.left = 9
+    with pytest.raises(RuntimeError):
+        supervised(Run, CircuitBreaker(clock=lambda: 0.0), 1, sleep=slept.append)
 
 
 def test_state_rules():

@@ -144,3 +144,8 @@ def test_containment_is_complete_for_one_field(a, b):
 def test_columns_evaluate_alike(spark, p):
     df = spark.createDataFrame([(i, float(r["x"]) if r["x"] is not None else None, float(r["y"]) if r["y"] is not None else None) for i, r in enumerate(ROWS)], "i int, x double, y double")
     assert {r.i for r in df.where(to_column(p)).collect()} == {i for i, r in enumerate(ROWS) if holds(p, r) is True}
+
+
+def test_difference_of_what_nothing_fulfils():
+    never = And((Compare("x", "=", None), Not(Compare("x", "=", None))))
+    assert minus(never, Not(Compare("x", "=", None))) == FALSE

@@ -86,10 +86,18 @@ def project_filter(spark, t):
     return project(where(t("orders"), Compare("o_orderstatus", "=", "P")), ["o_totalprice", "o_orderkey"])
 
 
-@query("SELECT * FROM (VALUES ('camelCase', 'camel_case'), ('fooID2Bar', 'foo_id2_bar'), ('HTTPServer', 'http_server'), ('plain', 'plain'), ('dateTimeValue', 'datetime_value'), ('startDateTime', 'start_datetime'), ('a1B', 'a1_b')) x(name, snake)")
+@query(r"""
+WITH n AS (SELECT p_partkey, CASE p_partkey % 11 WHEN 0 THEN 'dateTimeValue' WHEN 1 THEN 'endDateTimeValue' WHEN 2 THEN 'startDateTime' WHEN 3 THEN 'endDateTime' WHEN 4 THEN 'dateTime' WHEN 5 THEN 'fooID2Bar'
+  WHEN 6 THEN 'HTTPServer' WHEN 7 THEN 'a1B' ELSE replace(p_type, ' ', '') || 'URLOf' || replace(p_brand, '#', '') || 'x' || p_size END AS name FROM part)
+SELECT p_partkey, name, CASE name WHEN 'dateTimeValue' THEN 'datetime_value' WHEN 'endDateTimeValue' THEN 'end_datetime_value' WHEN 'startDateTime' THEN 'start_datetime' WHEN 'endDateTime' THEN 'end_datetime'
+  ELSE lower(regexp_replace(regexp_replace(name, '([a-z0-9])([A-Z])', '\1_\2', 'g'), '([A-Z])([A-Z][a-z])', '\1_\2', 'g')) END AS snake FROM n
+""")
 def snake_case_columns(spark, t):
-    names = spark.createDataFrame([(x,) for x in ("camelCase", "fooID2Bar", "HTTPServer", "plain", "dateTimeValue", "startDateTime", "a1B")], "name string")
-    return names.select("name", snake_case_column(F.col("name")).alias("snake"))
+    """Every part gives a name: a fixed one, or one made of its columns."""
+    fixed = ["dateTimeValue", "endDateTimeValue", "startDateTime", "endDateTime", "dateTime", "fooID2Bar", "HTTPServer", "a1B"]
+    made = F.concat(F.replace("p_type", F.lit(" "), F.lit("")), F.lit("URLOf"), F.replace("p_brand", F.lit("#"), F.lit("")), F.lit("x"), F.col("p_size").cast("string"))
+    name = F.coalesce(F.get(F.array(*map(F.lit, fixed)), (F.col("p_partkey") % 11).cast("int")), made)
+    return t("part").select("p_partkey", name.alias("name")).select("p_partkey", "name", snake_case_column(F.col("name")).alias("snake"))
 
 
 # --- order, limit, pages
@@ -151,8 +159,19 @@ def coverage_union(spark, t):
 
 @query("SELECT o_orderpriority, min(o_totalprice) AS low, max(o_totalprice) AS high, count(*)::BIGINT AS n, CASE WHEN count(*) > 0 THEN 'present' ELSE 'absent' END AS outcome FROM orders WHERE o_orderstatus = 'O' GROUP BY 1")
 def coverage_plan_stats(spark, t):
+    """What a fetch of open orders records: the range of its order field and its outcome."""
     rows = where(t("orders"), Compare("o_orderstatus", "=", "O"))
-    return rows.groupBy("o_orderpriority").agg(F.min(PRICE).alias("low"), F.max(PRICE).alias("high"), F.count("*").alias("n"), F.when(F.count("*") > 0, "present").otherwise("absent").alias("outcome"))
+    batch = rows.select("o_orderpriority", F.col("o_orderkey").alias("offset"), F.lit(True).alias("is_subset_snapshot"), F.col("o_orderpriority").alias("payload"), F.lit(None).cast("string").alias("snapshot"))
+    return cdc.value_range(rows, PRICE, by=("o_orderpriority",)).join(cdc.observation(batch, by=("o_orderpriority",)).drop("boundary"), "o_orderpriority")
+
+
+@query("""SELECT batch_id, CASE WHEN bool_or("offset" % 4 = 0 AND batch_id % 3 <> 0 AND payload <> '') THEN 'present' ELSE 'absent' END AS outcome,
+  max("offset") FILTER (WHERE "offset" % 50 = 7) AS boundary FROM (SELECT event_id AS "offset", event_id // 200 AS batch_id, CASE WHEN event_id % 11 <> 0 THEN props ELSE '' END AS payload FROM events) GROUP BY 1""")
+def subset_observation(spark, t):
+    """Of each batch: whether a subset row came, and the last snapshot in it."""
+    at = F.col("offset")
+    rows = log(t).select("batch_id", "offset", "payload", ((at % 4 == 0) & (F.col("batch_id") % 3 != 0)).alias("is_subset_snapshot"), F.when(at % 50 == 7, F.struct(at.alias("xmin"))).alias("snapshot"))
+    return cdc.observation(rows, by=("batch_id",)).select("batch_id", "outcome", F.col("boundary.xmin").alias("boundary"))
 
 
 # --- change log
@@ -216,14 +235,8 @@ def visibilities(changes: DataFrame) -> DataFrame:
     return rows.select("s.snapshot_id", "offset", cdc.visible(F.col("txid"), F.col("s.xmin"), F.col("s.xmax"), F.col("s.xip")).alias("visible"))
 
 
-@query(f'SELECT snapshot_id, "offset", {VISIBLE_SQL} AS visible FROM {CL} l, {SNAPSHOT_SQL} WHERE txid % 50 < 3')
-def snapshot_visibility(spark, t):
-    return visibilities(log(t).where("txid % 50 < 3"))
-
-
 @query(f'SELECT snapshot_id, "offset", {VISIBLE_SQL} AS visible FROM {CL} l, {SNAPSHOT_SQL}')
-def snapshot_visibility_whole(spark, t):
-    """Every change of the log; snapshot_visibility takes a part of it."""
+def snapshot_visibility(spark, t):
     return visibilities(log(t))
 
 
@@ -254,7 +267,7 @@ def message_stats(spark, t):
 
 @query(f"""SELECT "offset", key, k FROM {CL} WHERE payload <> ''""")
 def header_only_messages(spark, t):
-    return log(t).where(F.length("payload") > 0).select("offset", "key", "k")
+    return cdc.payloads(log(t)).select("offset", "key", "k")
 
 
 @query(f"""SELECT batch_id, arg_max(h, "offset") FILTER (WHERE h IS NOT NULL) AS handle, arg_max(c, "offset") FILTER (WHERE c IS NOT NULL) AS cursor FROM
@@ -270,9 +283,7 @@ def resume_identity(spark, t):
 
 @query(f"""SELECT batch_id, bool_or(coalesce(control IN ('up_to_date', 'snapshot_end', 'subset_end'), FALSE)) AS is_complete, bool_or(coalesce(control = 'up_to_date', FALSE)) AS is_up_to_date FROM {CL} GROUP BY 1""")
 def batch_completion(spark, t):
-    return log(t).groupBy("batch_id").agg(
-        F.coalesce(F.max(F.col("control").isin("up_to_date", "snapshot_end", "subset_end")), F.lit(False)).alias("is_complete"), F.coalesce(F.max(F.col("control") == "up_to_date"), F.lit(False)).alias("is_up_to_date")
-    )
+    return cdc.completion(log(t), by=("batch_id",))
 
 
 @query(f"SELECT DISTINCT key AS row_id, op, txid FROM {CL} WHERE op <> 'update'")
@@ -280,20 +291,11 @@ def optimistic_evidence(spark, t):
     return cdc.evidence(log(t).where("op <> 'update'").select("key", "op", F.array("txid").alias("txids")))
 
 
-def unretired(changes: DataFrame, confirmed: DataFrame) -> DataFrame:
-    evidence = lambda rows: cdc.evidence(rows.select("key", "op", F.array("txid").alias("txids")))
-    return cdc.retire_mutations(evidence(changes), evidence(confirmed))
-
-
-@query(f"SELECT key AS row_id, op, txid FROM (SELECT DISTINCT key, op, txid FROM {CL} WHERE key < 50) p WHERE NOT EXISTS (SELECT 1 FROM {CL} s WHERE s.\"offset\" % 2 = 0 AND s.key = p.key AND s.op = p.op AND s.txid = p.txid)")
-def optimistic_retirement(spark, t):
-    return unretired(log(t).where("key < 50"), log(t).where("offset % 2 = 0"))
-
-
 @query(f"SELECT key AS row_id, op, txid FROM (SELECT DISTINCT key, op, txid FROM {CL}) p WHERE NOT EXISTS (SELECT 1 FROM {CL} s WHERE s.\"offset\" % 2 = 0 AND s.key = p.key AND s.op = p.op AND s.txid = p.txid)")
-def optimistic_retirement_whole(spark, t):
-    """Mutations of every key; optimistic_retirement takes a part of them."""
-    return unretired(log(t), log(t).where("offset % 2 = 0"))
+def optimistic_retirement(spark, t):
+    """Every change as a pending mutation; those of even offsets are confirmed."""
+    evidence = lambda rows: cdc.evidence(rows.select("key", "op", F.array("txid").alias("txids")))
+    return cdc.retire_mutations(evidence(log(t)), evidence(log(t).where("offset % 2 = 0")))
 
 
 @query("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'present_value' WHEN 1 THEN 'explicit_null' ELSE 'absent' END AS k_presence, 'absent' AS z_presence FROM events""")
@@ -415,21 +417,27 @@ def owner_collisions(spark, t):
 # --- streams
 
 
-def wired(events: DataFrame) -> DataFrame:
-    wire = F.concat(F.lit(": hi\n\nid: 1\ndata: "), F.col("props"), F.lit("\r\ndata:x\n\n\nevent: e\n\n"))
-    rows = events.select("event_id", F.explode(event_data(wire)).alias("data"))
+@query("SELECT event_id, event_id AS n, props || chr(10) || 'x' AS data FROM events")
+def sse_events(spark, t):
+    wire = F.concat(F.lit(": hi\n\nid: 1\ndata: "), F.col("props"), F.lit("\r\ndata:x\n\n\nevent: e\n\ndata\n\ndata: not ended"))
+    rows = t("events").select("event_id", F.explode(event_data(wire)).alias("data"))
     return rows.select("event_id", F.col("event_id").alias("n"), "data")
 
 
-@query("SELECT event_id, event_id AS n, props || chr(10) || 'x' AS data FROM events WHERE event_id < 500")
-def sse_events(spark, t):
-    return wired(t("events").where("event_id < 500"))
-
+@query("""
+WITH a AS (SELECT user_id, event_id, event_id / 40.0 AS secs, event_type AS reason, event_type IN ('error', 'click') AS failed FROM events),
+g AS (SELECT *, count(*) FILTER (WHERE NOT failed) OVER (PARTITION BY user_id ORDER BY event_id) AS since FROM a),
+f AS (SELECT *, row_number() OVER (PARTITION BY user_id, since ORDER BY event_id) AS failures,
+  coalesce(lag(reason) OVER w = reason AND secs - lag(secs) OVER w <= 5, FALSE) AS again FROM g WHERE failed WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+r AS (SELECT *, sum(CASE WHEN again THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id) AS run FROM f),
+n AS (SELECT *, row_number() OVER (PARTITION BY user_id, run ORDER BY event_id) AS repeats FROM r)
+SELECT user_id, event_id, failures::INT AS failures, repeats::INT AS repeats, CASE WHEN repeats >= 5 THEN 30.0 ELSE least(30.0, 0.5 * pow(2.0, failures - 1)) END::DOUBLE AS delay, repeats >= 5 OR failures >= 3 AS opens FROM n
+""")
+def backoff_schedule(spark, t):
+    """Errors and clicks as failures of each user's reads: how long each is held off, and which open the breaker."""
+    from tidelog.streaming.breaker import schedule
 
-@query("SELECT event_id, event_id AS n, props || chr(10) || 'x' AS data FROM events")
-def sse_events_whole(spark, t):
-    """Every event; sse_events takes a part of them."""
-    return wired(t("events"))
+    return schedule(t("events"), "user_id", "event_id", F.col("event_id") / 40.0, F.col("event_type").isin("error", "click"), F.col("event_type"))
 
 
 @query("SELECT reason, count(*)::BIGINT AS messages FROM (SELECT CASE WHEN event_id % 97 = 0 THEN 'schema' WHEN event_id % 89 = 0 THEN 'control' WHEN event_id % 83 = 0 THEN 'tag' WHEN event_id % 79 = 0 THEN 'active_conditions' END AS reason FROM events) WHERE reason IS NOT NULL GROUP BY 1")

@@ -106,7 +106,7 @@ class Collection:
 
     def lazily(self, q: Query) -> DataFrame:
         """The same answer as one lazy plan, local and remote parts together; nothing is kept."""
-        return answer(where(self.local(), self.base), where(self.remote, self.base), q, self.plan(q))
+        return answer(where(self.local(), self.base), where(self.remote, self.base), q, self.plan(q), tuple(self.table.key))
 
     def ensure_subset(self, p: Predicate | None = None, order_by: tuple | None = None, limit: int | None = None) -> SubsetResult:
         """Always reads the remote side; records an observation, not coverage."""

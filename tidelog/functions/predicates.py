@@ -245,7 +245,7 @@ def from_json(data: str) -> Predicate:
 # --- field names
 
 #: Fixed names that the general rule would split otherwise.
-ALIASES = {"dateTimeValue": "datetime_value", "startDateTime": "start_datetime", "endDateTime": "end_datetime", "dateTime": "datetime"}
+ALIASES = {"dateTimeValue": "datetime_value", "endDateTimeValue": "end_datetime_value", "startDateTime": "start_datetime", "endDateTime": "end_datetime"}
 FIELD = re.compile(r"[^\W\d]\w*(?:\.[^\W\d]\w*)*")
 
 

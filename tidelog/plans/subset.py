@@ -47,10 +47,11 @@ def subset(df: DataFrame, q: Query, base: Predicate | None = None, key: tuple[st
     return where(rows, q.cursor.ties).unionByName(page(where(rows, q.cursor.after)))
 
 
-def answer(local: DataFrame, remote: DataFrame, q: Query, plan: Plan) -> DataFrame:
-    """A planned request: what is covered from the local table, only the remainder from the remote one."""
+def answer(local: DataFrame, remote: DataFrame, q: Query, plan: Plan, key: tuple[str, ...] = ()) -> DataFrame:
+    """A planned request in its order: what is covered from the local table, only the remainder from the remote one."""
     if plan.remainder is None:
-        return subset(local, q)
+        return subset(local, q, key=key)
     if q.scoped:
-        return subset(remote, q)
-    return where(local, plan.covered).unionByName(where(remote, plan.remainder))
+        return subset(remote, q, key=key)
+    rows = where(local, plan.covered).unionByName(where(remote, plan.remainder))
+    return rows.orderBy(*order_columns(q.order_by)) if q.order_by else rows

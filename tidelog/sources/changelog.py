@@ -48,7 +48,10 @@ def read_log_stream(spark: SparkSession, path: str, files_per_batch: int = 16) -
 
 
 class EventParser:
-    """Server-sent events: feed() takes bytes as they come and returns the data of finished events; finish() the last one's."""
+    """Server-sent events: feed() takes bytes as they come and returns the data of finished events; finish() that of an event without a blank line after it.
+
+    Lines count once they have ended. Only data: lines say anything; comments, other fields and a bare `data` do not.
+    """
 
     def __init__(self) -> None:
         self.rest = b""
@@ -59,27 +62,25 @@ class EventParser:
         return [x for line in whole if (x := self._line(line)) is not None]
 
     def finish(self) -> list[str]:
-        out = [x for line in ([self.rest] if self.rest else []) if (x := self._line(line)) is not None]
-        self.rest = b""
         last = self._line(b"")
-        return out + ([last] if last is not None else [])
+        return [last] if last is not None else []
 
     def _line(self, raw: bytes) -> str | None:
         line = raw.removesuffix(b"\r").decode()
         if not line:
             found, self.lines = self.lines, []
             return "\n".join(found) if found else None
-        name, _, value = line.partition(":")
-        if name == "data":
-            self.lines.append(value.removeprefix(" "))
+        if line.startswith("data:"):
+            self.lines.append(line.removeprefix("data:").removeprefix(" "))
         return None
 
 
 def event_data(text: Column) -> Column:
     """EventParser over a column of whole streams: an array with the data of each event."""
-    lines = lambda block: F.filter(F.split(block, "\n"), lambda x: (x == "data") | x.startswith("data:"))
+    lines = lambda block: F.filter(F.split(block, "\n"), lambda x: x.startswith("data:"))
     data = lambda x: F.regexp_replace(F.substring(x, 6, 1 << 30), "^ ", "")
-    blocks = F.filter(F.split(F.regexp_replace(text, "\r\n", "\n"), "\n\n+"), lambda b: F.size(lines(b)) > 0)
+    ended = F.regexp_replace(text, r"[^\n]*+\z", "")
+    blocks = F.filter(F.split(F.regexp_replace(ended, "\r\n", "\n"), "\n\n+"), lambda b: F.size(lines(b)) > 0)
     return F.transform(blocks, lambda b: F.array_join(F.transform(lines(b), data), "\n"))
 
 
