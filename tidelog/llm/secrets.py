@@ -1,20 +1,23 @@
 """Secret scan (operator 2, native): fixed credential patterns and a randomness test battery.
 
 Base spans are `assign` (a credential name, a separator, a value of six characters or more), `access`
-(AKIA keys) and `hex` (runs of 24 or more). The battery adds `random` spans: every maximal run of base64
+(AKIA keys) and `hex` (runs of 24 or more). The battery adds `random` spans: every maximal run of 20 or more base64
 characters that holds a digit and a letter is given the smallest alphabet that fits it (its inferred
-encoding) and tested against uniform randomness three ways: chi-squared of the symbol counts, the
-Wald-Wolfowitz runs test about the alphabet's middle and the lag-one serial correlation. The three normal
-scores are combined by Stouffer's sum of one-sided departures; the null hypothesis is that the run is
-uniformly random, so ordinary words and paths are what is rejected. Rejections are held to a false
-discovery rate by Benjamini and Hochberg's rule over all runs of the corpus, with each p-value weighed by
-the run's length against the mean length (weighted rule; long runs have more power). A run that survives
-is reported where it has at least MIN_LENGTH symbols, below which the tests cannot reject anything. A run that holds
-both + or / and - or _ fits no alphabet: its parts between / and + are tested and its parts between - and _; a part
-that survives within another that does is not reported.
-
-The ranking needs no sort of runs: p-values are counted in STEPS bins, and the rule is exact on binned
-values. Only that table of STEPS rows at most is ordered; one threshold comes back.
+encoding) and tested against uniform randomness: chi-squared of the symbol counts (over single symbols, and over cells
+of neighbouring symbols wide enough to expect five in each), the Wald-Wolfowitz runs test about the alphabet's middle
+and the lag-one serial correlation. Stouffer's sum of the one-sided departures is the run's score z: about standard
+normal for random runs, and growing with the length of identifiers, paths and other ordinary text.
+
+A run is a discovery if it is much closer to random than ordinary text of its length. The null hypothesis is that it is
+ordinary: z is normal about ORDINARY's line in the square root of the length. The corpus' own ordinary runs (those without
+a digit) may move that line towards random and widen it, never the other way. P-values are the lower tail of that, so the
+same score says more of a long run than of a short one. Runs that uniform randomness itself rejects (z over MOST) get
+p = 1. Benjamini and Hochberg's rule over the distinct candidate runs of the corpus holds the false discoveries to `fdr` of what is
+reported. A run that holds both + or / and - or _ fits no alphabet: its parts between / and + are tested and its parts
+between - and _; a part that is found within another that is, is not reported.
+
+The ranking needs no sort of runs: they are counted in bins of 1/STEP standard deviations, and the rule is applied to the
+bins' upper edges. Three numbers come back, and each text is judged where it lies.
 
 Defined cases. Null text: as empty, no spans and the digest of the empty string. Empty table: no rows.
 Repeated rows: each gets its own result row. Further columns of the input are ignored. Texts are never cut.
@@ -26,18 +29,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.scratch import Scratch
-from tidelog.llm.spans import SPAN, count_of, digest, listed, no_spans, spans
+from tidelog.llm.spans import SPAN, count_of, digest, let, listed, name, quoted, spans
 
 #: The base patterns.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}+"
-RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+={0,2}"
-#: The same with two of the four separators.
-RUN_OF = r"(?<![A-Za-z0-9{0}])(?=[A-Za-z{0}]*+[0-9])(?=[0-9{0}]*+[A-Za-z])[A-Za-z0-9{0}]{{20,}}+={{0,2}}"
+#: Runs of the symbols of all alphabets, and with two of the four separators only.
+RUN = r"(?<![A-Za-z0-9+/_-])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+={0,2}"
+RUN_OF = r"(?<![A-Za-z0-9{0}])(?=[0-9{0}]*+[A-Za-z])[A-Za-z0-9{0}]{{20,}}+={{0,2}}"
 KINDS = ("assign", "access", "hex", "random")
-MIN_LENGTH = 20
-STEPS = 10_000
 #: Alphabets from narrow to wide: the symbols of an encoding in order of value.
 HEX_LOWER, HEX_UPPER = "0123456789abcdef", "0123456789ABCDEF"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -46,33 +47,30 @@ UPPER36 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 BASE64URL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"
-ENCODINGS = (("hex", HEX_LOWER), ("hex", HEX_UPPER), ("base32", BASE32), ("base36", LOWER36), ("base36", UPPER36), ("base62", BASE62), ("base64", BASE64), ("base64url", BASE64URL))
-
-
-def _class(alphabet: str) -> str:
-    return "^[" + alphabet.replace("-", r"\-") + "]+$"
-
-
-def base_spans(text: Column) -> Column:
-    """assign, access and hex spans of a text column that is not null."""
-    return F.concat(
-        spans(text, ASSIGN, "assign", 0, group=(2, lambda g: F.length(g) >= 6)),
-        spans(text, ACCESS, "access", 1, keep=lambda m: F.length(m) >= 20, hint=F.contains(text, F.lit("AKIA"))),
+ALPHABETS = (HEX_LOWER, HEX_UPPER, BASE32, LOWER36, UPPER36, BASE62, BASE64, BASE64URL)
+#: Ordinary runs of n symbols have z about SLOPE * sqrt(n) + BASE with deviation SPREAD (fitted on generated identifiers,
+#: paths and dated names); that counts as WEIGHT runs beside the corpus' own.
+SLOPE, BASE, SPREAD, WEIGHT = 1.6, -5.0, 1.25, 50
+MOST = 3.09
+STEP = 100
+_HALF_NORMAL_MEAN = 0.7978845608028654
+
+
+def base_spans(text: str) -> str:
+    """assign, access and hex spans of a text that is not null."""
+    return "concat(" + ", ".join([
+        spans(text, ASSIGN, "assign", 0, group=(2, lambda g: f"length({g}) >= 6")),
+        spans(text, ACCESS, "access", 1, keep=lambda m: f"length({m}) >= 20", hint=f"contains({text}, 'AKIA')"),
         spans(text, HEX, "hex", 2),
-    )
-
+    ]) + ")"
 
-def run_spans(text: Column) -> Column:
-    """Maximal base64 runs with a letter and a digit: what the battery tests."""
-    return spans(text, RUN, "random", 3)
 
-
-def segments(run: Column) -> Column:
+def _segments(run: str) -> str:
     """The spans to test of a run: itself, or where it fits no alphabet, its parts between / and + and its parts between - and _."""
-    value, at = run["value"], run["start"]
-    parts = F.array_distinct(F.concat(spans(value, RUN_OF.format("_-"), "random", 3), spans(value, RUN_OF.format("+/"), "random", 3)))
-    moved = F.transform(parts, lambda x: F.struct((x["start"] + at).alias("start"), x["rank"].alias("rank"), (x["end"] + at).alias("end"), x["kind"].alias("kind"), x["value"].alias("value")))
-    return F.when(value.rlike("[+/]") & value.rlike("[_-]"), moved.cast(SPAN)).otherwise(F.array(run).cast(SPAN))
+    x = name()
+    parts = f"array_distinct(concat({spans(run + '.value', RUN_OF.format('_-'), 'random', 3)}, {spans(run + '.value', RUN_OF.format('+/'), 'random', 3)}))"
+    moved = f"transform({parts}, {x} -> named_struct('start', {x}.start + {run}.start, 'rank', {x}.rank, 'end', {x}.`end` + {run}.start, 'kind', {x}.kind, 'value', {x}.value))"
+    return f"case when {run}.value rlike '[+/]' and {run}.value rlike '[_-]' then cast({moved} as {SPAN}) else cast(array({run}) as {SPAN}) end"
 
 
 def normal_tail(z: Column) -> Column:
@@ -83,84 +81,95 @@ def normal_tail(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1 - tail)
 
 
-def tested(runs: DataFrame) -> DataFrame:
-    """Adds encoding, n and p (the combined p-value under uniform randomness) to rows with a column `value`.
-
-    A run with no fitting alphabet gets encoding null and p null.
-    """
-    bare = F.rtrim(F.col("value"), F.lit("="))
-    code = alphabet = None
-    for name, letters in ENCODINGS:
-        fits = F.col("bare").rlike(_class(letters))
-        code = F.when(fits, F.lit(name)) if code is None else code.when(fits, F.lit(name))
-        alphabet = F.when(fits, F.lit(letters)) if alphabet is None else alphabet.when(fits, F.lit(letters))
-    rows = _step(runs, bare=bare)
-    rows = _step(rows, encoding=code, alphabet=alphabet)
-    rows = _step(rows, n=F.length("bare").cast("double"), m=F.length("alphabet").cast("double"), codes=F.transform(F.split("bare", "(?!^)(?!$)"), lambda c: F.instr(F.col("alphabet"), c).cast("double") - 1))
-    add = lambda values: F.aggregate(values, F.lit(0.0), lambda x, y: x + y)
-    heads, tails = F.slice("codes", 1, F.size("codes") - 1), F.slice("codes", 2, F.size("codes") - 1)
-    high = lambda c: c >= F.col("m") / 2
-    rows = _step(
-        rows,
-        squares=F.aggregate(F.array_distinct("codes"), F.lit(0.0), lambda acc, c: acc + F.pow(F.size(F.filter("codes", lambda x: x == c)).cast("double"), F.lit(2.0))),
-        n1=F.size(F.filter("codes", high)).cast("double"),
-        changes=add(F.zip_with(heads, tails, lambda x, y: F.when(high(x) != high(y), 1.0).otherwise(0.0))) + 1,
-        s1=add(F.col("codes")),
-        s2=add(F.transform("codes", lambda c: c * c)),
-        s12=add(F.zip_with(heads, tails, lambda x, y: x * y)),
-        first=F.get("codes", F.lit(0)),
-        last=F.get("codes", F.size("codes") - 1),
-    )
-    n, m, avg = F.col("n"), F.col("m"), F.col("s1") / F.col("n")
+def battery(value: str) -> str:
+    """A struct (n, z) of a run: its number of symbols and its score; null where no alphabet fits."""
+    c, j, a, b, i = (name() for _ in range(5))
+    bare = f"trim(trailing '=' from {value})"
+    fits = lambda letters: quoted("^[" + letters.replace("-", r"\-") + "]+$")
+    alphabet = lambda x: "case " + " ".join(f"when {x} rlike {fits(letters)} then {quoted(letters)}" for letters in ALPHABETS) + " end"
+    codes = lambda x, letters: f"transform(split({x}, '(?!^)(?!$)'), {c} -> cast(instr({letters}, {c}) - 1 as double))"
     # chi-squared, by Wilson and Hilferty's cube root as a normal score
-    k = m - 1
-    chi = (F.pow(F.greatest(m / n * F.col("squares") - n, F.lit(0.0)) / k, F.lit(1 / 3)) - (1 - 2 / (9 * k))) / F.sqrt(2 / (9 * k))
-    # runs above and below the middle of the alphabet
-    mean = 2 * F.col("n1") * (n - F.col("n1")) / n + 1
-    var = (mean - 1) * (mean - 2) / (n - 1)
-    runs_score = F.when(var > 0, F.abs(F.col("changes") - mean) / F.sqrt(F.when(var > 0, var))).otherwise(F.lit(6.0))
-    # serial correlation of neighbours
-    cov = F.col("s12") - avg * (2 * F.col("s1") - F.col("first") - F.col("last")) + (n - 1) * avg * avg
-    ss = F.col("s2") - n * avg * avg
-    serial = F.when(ss > 1e-9, F.abs(cov / F.when(ss > 1e-9, ss)) * F.sqrt(n)).otherwise(F.lit(6.0))
-    rows = _step(rows, z_chi=chi, z_runs=runs_score, z_serial=serial)
-    # the half-normal mean is taken off the two-sided scores, so that the sum has mean zero under the null
-    centre = 0.7978845608028654
-    rows = _step(rows, z=(F.col("z_chi") + (F.col("z_runs") - centre) + (F.col("z_serial") - centre)) / (1 + 2 * (1 - centre * centre)) ** 0.5)
-    return rows.select(*runs.columns, "encoding", "n", F.when(F.col("encoding").isNotNull(), normal_tail(F.col("z"))).alias("p"))
-
-
-def _step(df: DataFrame, **columns: Column) -> DataFrame:
-    """Adds columns that later ones use several times. They are made once: through a generator, which projections do not merge across."""
-    return df.select("*", F.explode(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))).alias("_step")).select(*df.columns, "_step.*")
-
-
-def controlled(rows: DataFrame, fdr: float) -> DataFrame:
-    """Rows of tested() that survive: not rejected as non-random at this false discovery rate, and long enough."""
-    total = rows.agg(F.count("p").alias("tests"), F.avg(F.when(F.col("p").isNotNull(), F.col("n"))).alias("mean_n"))
-    weighed = rows.withColumn("bin", F.ceil(F.least(F.col("p") * total.select("mean_n").scalar() / F.col("n"), F.lit(1.0)) * STEPS).cast("int"))
-    bins = weighed.where("bin is not null").groupBy("bin").agg(F.count("*").alias("here"))
-    ranked = bins.withColumn("rank", F.sum("here").over(Window.orderBy("bin")))  # STEPS + 1 rows at most
-    cut = ranked.agg(F.max(F.when(F.col("bin") / STEPS <= F.lit(fdr) * F.col("rank") / total.select("tests").scalar(), F.col("bin"))).alias("cut"))
-    return weighed.where((F.col("bin") > F.coalesce(cut.scalar(), F.lit(-1))) & (F.col("n") >= MIN_LENGTH)).drop("bin")
+    score = lambda chi, k: f"(pow(greatest({chi}, 0D) / {k}, 1D / 3) - (1 - 2D / (9 * {k}))) / sqrt(2D / (9 * {k}))"
+
+    def counted(s: str) -> str:
+        """s: m, codes. Adds n, the number of cells, and sums."""
+        high = lambda x: f"{x} >= {s}.m / 2"
+        head, tail = f"slice({s}.codes, 1, size({s}.codes) - 1)", f"slice({s}.codes, 2, size({s}.codes) - 1)"
+        total = lambda values: f"aggregate({values}, 0D, ({a}, {b}) -> {a} + {b})"
+        fields = {
+            "m": f"{s}.m", "n": f"cast(size({s}.codes) as double)", "codes": f"{s}.codes", "cells": f"greatest(2, least(cast({s}.m as int), size({s}.codes) div 5))",
+            "squares": f"aggregate(array_distinct({s}.codes), 0D, ({a}, {b}) -> {a} + pow(cast(size(filter({s}.codes, {i} -> {i} = {b})) as double), 2))",
+            "high": f"cast(size(filter({s}.codes, {i} -> {high(i)})) as double)",
+            "changes": total(f"zip_with({head}, {tail}, ({a}, {b}) -> if(({high(a)}) <> ({high(b)}), 1D, 0D))") + " + 1",
+            "s1": total(f"{s}.codes"), "s2": total(f"transform({s}.codes, {i} -> {i} * {i})"), "s12": total(f"zip_with({head}, {tail}, ({a}, {b}) -> {a} * {b})"),
+            "ends": f"{s}.codes[0] + {s}.codes[size({s}.codes) - 1]",
+        }
+        return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+    def scored(s: str) -> str:
+        expected = f"{s}.n / {s}.m * (ceil(({j} + 1) * {s}.m / {s}.cells) - ceil({j} * {s}.m / {s}.cells))"
+        seen = f"size(filter({s}.codes, {i} -> floor({i} * {s}.cells / {s}.m) = {j}))"
+        pooled = f"aggregate(sequence(0, {s}.cells - 1), 0D, ({a}, {j}) -> {a} + pow({seen} - {expected}, 2) / ({expected}))"
+        chi = score(f"{s}.m / {s}.n * {s}.squares - {s}.n", f"({s}.m - 1)") + " + " + score(pooled, f"({s}.cells - 1)")
+        # runs above and below the middle of the alphabet
+        mean = f"(2 * {s}.high * ({s}.n - {s}.high) / {s}.n + 1)"
+        var = f"(({mean} - 1) * ({mean} - 2) / ({s}.n - 1))"
+        changes = f"case when {var} > 0 then abs({s}.changes - {mean}) / sqrt({var}) else 6D end"
+        # serial correlation of neighbours
+        avg = f"({s}.s1 / {s}.n)"
+        cov, ss = f"({s}.s12 - {avg} * (2 * {s}.s1 - {s}.ends) + ({s}.n - 1) * {avg} * {avg})", f"({s}.s2 - {s}.n * {avg} * {avg})"
+        serial = f"case when {ss} > 1e-9D then abs({cov} / {ss}) * sqrt({s}.n) else 6D end"
+        # the half-normal mean is taken off the two-sided scores; the chi-squared pair is correlated by about a half
+        h = f"{_HALF_NORMAL_MEAN}D"
+        return f"named_struct('n', {s}.n, 'z', ({chi} + ({changes} - {h}) + ({serial} - {h})) / sqrt(3 + 2 * (1 - {h} * {h})))"
+
+    made = let(bare, lambda x: let(alphabet(x), lambda letters: f"case when {letters} is not null then named_struct('m', cast(length({letters}) as double), 'codes', {codes(x, letters)}) end"))
+    return let(made, lambda s: f"case when {s} is not null then {let(counted(s), scored)} end")
+
+
+def _departure(n: str, z: str, shift: float = 0.0, spread: float = SPREAD) -> str:
+    """Standard deviations by which a score departs from ordinary runs of its length."""
+    return f"(({z} - ({SLOPE}D * sqrt({n}) + {BASE}D) - {shift!r}D) / {spread!r}D)"
+
+
+def _bin(n: str, z: str, shift: float, spread: float) -> str:
+    return f"cast(floor(-{_departure(n, z, shift, spread)} * {STEP}) as int)"
+
+
+def tested(texts: DataFrame) -> DataFrame:
+    """value, n, z and candidate (holds a digit) of every distinct run of a column text that fits an alphabet."""
+    run, of = name(), name()
+    runs = texts.select(F.expr(f"explode(flatten(transform({spans('text', RUN, 'random', 3)}, {run} -> {_segments(run)})))").alias("s")).select("s.value").distinct()
+    rows = runs.select("value", F.expr(f"explode(array({battery('value')}))").alias(of)).where(F.col(of).isNotNull())
+    return rows.select("value", f"{of}.n", f"{of}.z", F.col("value").rlike("[0-9]").alias("candidate"))
+
+
+def controlled(runs: DataFrame, fdr: float) -> tuple[float, float, int | None]:
+    """Of tested(): shift and spread of the ordinary runs, and the bin from which on candidates are discoveries (None: there are none)."""
+    e = F.expr(_departure("n", "z")) * SPREAD
+    k, e1, e2 = runs.where("not candidate").agg(F.count("*"), F.coalesce(F.sum(e), F.lit(0.0)), F.coalesce(F.sum(e * e), F.lit(0.0))).first()
+    shift = min(0.0, e1 / (k + WEIGHT))
+    spread = max(SPREAD, ((WEIGHT * SPREAD**2 + max(0.0, e2 - (e1 * e1 / k if k else 0.0))) / (WEIGHT + k)) ** 0.5)
+    candidates = runs.where("candidate")
+    bins = candidates.withColumn("bin", F.expr(f"case when z <= {MOST} then greatest({_bin('n', 'z', shift, spread)}, -1) else -1 end")).groupBy("bin").agg(F.count("*").alias("here"))
+    ranked = bins.select("bin", F.sum("here").over(Window.orderBy(F.desc("bin"))).alias("rank"), F.sum("here").over(Window.partitionBy()).alias("tests"))  # some thousand rows at most
+    found = ranked.where((F.col("bin") >= 0) & (normal_tail(F.col("bin") / STEP) <= F.lit(fdr) * F.col("rank") / F.col("tests")))
+    return shift, spread, found.agg(F.min("bin")).first()[0]
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: float = 0.05) -> DataFrame:
     """id, text, base (spans), found (base and random spans) for every row of docs."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("mark", F.xxhash64("text"))
-    runs = rows.select("doc_id", "mark", F.explode(run_spans(F.col("text"))).alias("run"))
-    runs = runs.select("doc_id", "mark", F.col("run.start").alias("of"), F.explode(segments(F.col("run"))).alias("s")).select("doc_id", "mark", "of", "s", F.col("s.value").alias("value")).distinct()
-    runs = Scratch(docs.sparkSession).save(runs, "runs")  # few and short; the texts are searched once
-    kept = controlled(tested(runs), fdr)
-    parts = kept.groupBy("doc_id", "mark", "of").agg(F.collect_list("s").alias("parts"))
-    within = lambda x: F.exists("parts", lambda y: (y["start"] <= x["start"]) & (y["end"] >= x["end"]) & (y["end"] - y["start"] > x["end"] - x["start"]))
-    parts = parts.select("doc_id", "mark", F.filter("parts", lambda x: ~within(x)).alias("parts"))
-    added = parts.groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("parts")).alias("more"))
-    added = added.select(F.col("doc_id").alias("added_id"), F.col("mark").alias("added_mark"), "more")
-    base = rows.withColumn("base", base_spans(F.col("text")))
-    joined = base.join(added, F.col("doc_id").eqNullSafe(F.col("added_id")) & (F.col("mark") == F.col("added_mark")), "left")
-    return joined.select("doc_id", "text", "base", F.concat("base", F.coalesce(F.col("more").cast(SPAN), no_spans())).alias("found"))
+    shift, spread, cut = controlled(Scratch(docs.sparkSession).save(tested(rows), "runs"), fdr)  # distinct runs are few and short
+    based = rows.select("*", F.expr(f"explode(array({base_spans('text')}))").alias("base"))
+    if cut is None:
+        return based.select("*", F.col("base").alias("found"))
+    run, kept, x, y = (name() for _ in range(4))
+    told = let(battery(f"{x}.value"), lambda b: f"coalesce({b}.z <= {MOST} and {_bin(f'{b}.n', f'{b}.z', shift, spread)} >= {cut}, false)")
+    own = f"filter({_segments(run)}, {x} -> {x}.value rlike '[0-9]' and {told})"
+    outer = let(own, lambda kept: f"filter({kept}, {x} -> not exists({kept}, {y} -> {y}.start <= {x}.start and {y}.`end` >= {x}.`end` and {y}.`end` - {y}.start > {x}.`end` - {x}.start))")
+    more = f"flatten(transform({spans('text', RUN, 'random', 3)}, {run} -> {outer}))"
+    return based.select("*", F.expr(f"concat(base, {more})").alias("found"))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,59 +1,86 @@
-"""Native span extraction: positions of regular-expression matches as Spark columns.
+"""Native span extraction: positions of regular-expression matches as Spark expressions.
 
 Spark returns the text of matches but not their places. Splitting the same text by the same expression
 returns the gaps between them, and running sums over gap and match lengths give every start. All offsets
 are code points, end exclusive.
+
+The expressions are long, so they are written as SQL text, which the JVM parses at once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
+#: Matches that are appended to one array; more go into an array of such arrays, because appending copies.
+BLOCK = 512
+NO_SPANS = f"cast(array() as {SPAN})"
+Sql = Callable[[str], str]
+_NUMBERS = count()
+
+
+def name() -> str:
+    """A fresh name for a lambda's variable."""
+    return f"v{next(_NUMBERS)}"
+
+
+def quoted(text: str) -> str:
+    """text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
 
 
-def no_spans() -> Column:
-    return F.array().cast(SPAN)
+def let(value: str, use: Sql) -> str:
+    """use(value), with value computed once for each row."""
+    x = name()
+    return f"transform(array({value}), {x} -> {use(x)})[0]"
 
 
-def spans(text: Column, pattern: str, kind: str, rank: int, keep: Callable[[Column], Column] | None = None, hint: Column | None = None, group: tuple[int, Callable[[Column], Column]] | None = None) -> Column:
+def spans(text: str, pattern: str, kind: str, rank: int, keep: Sql | None = None, hint: str | None = None, group: tuple[int, Sql] | None = None) -> str:
     """Leftmost non-overlapping matches of pattern in text that pass keep(match), in order of start.
 
-    hint: a cheap column that is false where no match can be; there, the expression is not run.
+    hint: a cheap condition that is false where no match can be; there, the expression is not run.
     group: (number, test) tests that capturing group of each match besides.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(group[0])) if group else found
-    gaps = F.split(text, pattern, -1)
-    passes = lambda m, g: (keep(m) if keep else F.lit(True)) & (group[1](g) if group else F.lit(True))
-    rows = F.zip_with(found, parts, lambda m, g: F.struct(m.alias("m"), passes(m, g).alias("ok")))
-    rows = F.zip_with(F.slice(gaps, 1, F.greatest(F.size(gaps) - 1, F.lit(0))), rows, lambda gap, r: F.struct(F.length(gap).alias("gap"), r["m"].alias("m"), r["ok"].alias("ok")))
-    made = F.aggregate(
-        rows,
-        F.struct(F.lit(0).alias("at"), no_spans().alias("out")),
-        lambda acc, r: F.struct(
-            (acc["at"] + r["gap"] + F.length(r["m"])).alias("at"),
-            F.when(
-                r["ok"],
-                F.concat(
-                    acc["out"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + r["gap"]).alias("start"), F.lit(rank).alias("rank"), (acc["at"] + r["gap"] + F.length(r["m"])).alias("end"), F.lit(kind).alias("kind"), r["m"].alias("value")
-                        )
-                    ).cast(SPAN),
-                ),
-            )
-            .otherwise(acc["out"])
-            .alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    some = text.rlike(pattern) if hint is None else hint & text.rlike(pattern)
-    return F.when(some, made).otherwise(no_spans())
+    p = quoted(pattern)
+    m, g, gap, r = name(), name(), name(), name()
+    found = f"regexp_extract_all({text}, {p}, 0)"
+    parts = f"regexp_extract_all({text}, {p}, {group[0]})" if group else found
+    passes = " and ".join([*([f"({keep(m)})"] if keep else []), *([f"({group[1](g)})"] if group else [])]) or "true"
+    gaps = let(f"split({text}, {p}, -1)", lambda x: f"slice({x}, 1, greatest(size({x}) - 1, 0))")
+    tested = f"zip_with({found}, {parts}, ({m}, {g}) -> named_struct('m', {m}, 'ok', coalesce({passes}, false)))" if group else f"transform({found}, {m} -> named_struct('m', {m}, 'ok', coalesce({passes}, false)))"
+    rows = f"zip_with({gaps}, {tested}, ({gap}, {r}) -> named_struct('gap', length({gap}), 'm', {r}.m, 'ok', {r}.ok))"
+    some = f"{text} rlike {p}" if hint is None else f"{hint} and {text} rlike {p}"
+    return f"case when {some} then {let(rows, lambda x: _placed(x, kind, rank))} else {NO_SPANS} end"
+
+
+def _block(at: str, rows: str, kind: str, rank: int) -> str:
+    a, r = name(), name()
+    end = f"{a}.at + {r}.gap + length({r}.m)"
+    own = f"cast(array(named_struct('start', {a}.at + {r}.gap, 'rank', {rank}, 'end', {end}, 'kind', '{kind}', 'value', {r}.m)) as {SPAN})"
+    return f"aggregate({rows}, named_struct('at', {at}, 'out', {NO_SPANS}), ({a}, {r}) -> named_struct('at', {end}, 'out', case when {r}.ok then concat({a}.out, {own}) else {a}.out end))"
+
+
+def _placed(rows: str, kind: str, rank: int) -> str:
+    """Spans of (gap, m, ok): matches with the length of what stands before each."""
+    i, a, part = name(), name(), name()
+    blocks = f"transform(sequence(0, cast((size({rows}) - 1) div {BLOCK} as int)), {i} -> slice({rows}, {i} * {BLOCK} + 1, {BLOCK}))"
+    step = let(_block(f"{a}.at", part, kind, rank), lambda d: f"named_struct('at', {d}.at, 'out', concat({a}.out, array({d}.out)))")
+    many = f"aggregate({blocks}, named_struct('at', 0, 'out', cast(array() as array<{SPAN}>)), ({a}, {part}) -> {step}, {a} -> flatten({a}.out))"
+    return f"case when size({rows}) <= {BLOCK} then {_block('0', rows, kind, rank)}.out else {many} end"
+
+
+def replace(text: str, found: str, mark: Sql) -> str:
+    """text with every span replaced by mark(span); of overlapping spans the first (then the longest) stays and the others' rest goes with it."""
+    a, b, s = name(), name(), name()
+    ordered = f"array_sort({found}, ({a}, {b}) -> case when {a}.start <> {b}.start then {a}.start - {b}.start else {b}.`end` - {a}.`end` end)"
+    kept = f"named_struct('at', {s}.`end`, 'out', concat({a}.out, substring({text}, {a}.at + 1, {s}.start - {a}.at), {mark(s)}))"
+    passed = f"named_struct('at', greatest({a}.at, {s}.`end`), 'out', {a}.out)"
+    done = f"aggregate({ordered}, named_struct('at', 0, 'out', ''), ({a}, {s}) -> case when {s}.start >= {a}.at then {kept} else {passed} end, {a} -> concat({a}.out, substring({text}, {a}.at + 1, length({text}))))"
+    return f"case when size({found}) > 0 then {done} else {text} end"
 
 
 def listed(found: Column) -> Column:
@@ -67,17 +94,3 @@ def digest(found: Column) -> Column:
 
 def count_of(found: Column, kind: str) -> Column:
     return F.size(F.filter(found, lambda x: x["kind"] == kind)).cast("long")
-
-
-def replace(text: Column, found: Column, mark: Callable[[Column], Column]) -> Column:
-    """text with every span replaced by mark(span); of overlapping spans the first (then the longest) stays and the others' rest goes with it."""
-    ordered = F.array_sort(found, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
-    done = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), mark(s)).alias("out"))).otherwise(
-            F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(found) > 0, done).otherwise(text)
