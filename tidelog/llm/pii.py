@@ -5,9 +5,10 @@ a protected entity c. A term t discloses c when knowing t gives away most of wha
 counted over the distinct texts of the whole corpus, PMI(t, c) >= ALPHA * IC(c), where
 PMI = log(n(t,c) N / (n(t) n(c))) and IC = -log(n(c) / N). N counts the distinct texts (copies are one), n(t) and
 n(c) those that hold t or c, n(t,c) those that hold both, at any distance; terms are WORD matches of three code
-points or more outside base spans. Among the texts of n(t,c), c must stand in SUPPORT distinct contexts at least
-(the first by hash of each text; CONTEXT code points on either side, without words that the edge cuts), because a word
-met once tells nothing of co-occurrence and a passage copied into several texts is met once. Disclosing terms become
+points or more outside base spans. Co-occurrence must not come from copying: among the texts of n(t,c), c must stand in
+SUPPORT distinct contexts at least, and in one for every 1 / INDEPENDENT texts. The context of c in a text is the three smallest
+hashes of two neighbouring words within CONTEXT code points of it (words that the edge cuts left out), so that a passage copied into
+several texts is one context, and near copies of a text, few words of which differ, mostly are. Disclosing terms become
 `term` spans wherever they stand, in texts that do not hold c too; sanitise() generalises them (to the class of their
 shape) and removes the base values.
 
@@ -36,7 +37,7 @@ WORD = r"[\p{L}\p{N}](?:[\p{L}\p{N}'’-]*[\p{L}\p{N}])?"
 EDGE_LEFT, EDGE_RIGHT = r"^[\p{L}\p{N}'’-]+", r"[\p{L}\p{N}'’-]+$"  # what may be a part of a word
 KINDS = ("email", "ip", "card", "phone", "term")
 ALPHA = 0.8
-SUPPORT = 3
+SUPPORT, INDEPENDENT = 3, 1 / 2
 CONTEXT = 80
 
 
@@ -86,13 +87,15 @@ def _term(word: str) -> str:
 
 
 def _held(text: str, base: str) -> str:
-    """The entities of a text, ascending, each with the smallest hash of what stands around it there."""
+    """The entities of a text, ascending, each with a hash of its context there (the smallest, where it stands several times)."""
     s, x, i = name(), name(), name()
     left = f"substring({text}, greatest({s}.start - {CONTEXT}, 0) + 1, least({s}.start, {CONTEXT}))"
     left = f"case when {s}.start > {CONTEXT} then regexp_replace({left}, {quoted(EDGE_LEFT)}, '') else {left} end"
     right = f"substring({text}, {s}.`end` + 1, {CONTEXT})"
     right = f"case when {s}.`end` + {CONTEXT} < length({text}) then regexp_replace({right}, {quoted(EDGE_RIGHT)}, '') else {right} end"
-    each = f"array_sort(transform({base}, {s} -> named_struct('entity', xxhash64({_entity(s)}), 'context', xxhash64({left}, {right}))))"
+    words = lambda side: f"regexp_extract_all(lower({side}), {quoted(WORD)}, 0)"
+    pairs = let(f"concat({words(left)}, array(''), {words(right)})", lambda w: f"case when size({w}) > 1 then xxhash64(slice(array_sort(transform(sequence(1, size({w}) - 1), {i} -> xxhash64({w}[{i} - 1], {w}[{i}]))), 1, 3)) else 0L end")
+    each = f"array_sort(transform({base}, {s} -> named_struct('entity', xxhash64({_entity(s)}), 'context', {pairs})))"
     return let(each, lambda all_: f"filter({all_}, ({x}, {i}) -> {i} = 0 or get({all_}, {i} - 1).entity <> {x}.entity)")
 
 
@@ -112,7 +115,7 @@ def disclosing(rows: DataFrame, scratch: Scratch, alpha: float = ALPHA, support:
     entities = texts.select(F.inline("held")).groupBy("entity").agg(F.count("*").alias("n_c"), F.countDistinct("context").alias("n_contexts"))
     entities = scratch.save(entities.where(F.col("n_contexts") >= support).select("entity", "n_c"), "entities")  # of others no term can have the support
     near = texts.select("terms", F.inline("held")).join(entities, "entity").select("entity", "n_c", "context", F.explode("terms").alias("term"))
-    pairs = near.groupBy("term", "entity", "n_c").agg(F.count("*").alias("n_tc"), F.countDistinct("context").alias("n_contexts")).where(F.col("n_contexts") >= support).drop("n_contexts")
+    pairs = near.groupBy("term", "entity", "n_c").agg(F.count("*").alias("n_tc"), F.countDistinct("context").alias("n_contexts")).where(F.col("n_contexts") >= F.greatest(F.lit(support), F.ceil(INDEPENDENT * F.col("n_tc")))).drop("n_contexts")
     pairs = scratch.save(pairs, "pairs")
     tells = lambda n_t: F.col("n_tc") / F.col(n_t) >= F.pow(F.col("n_c") / F.lit(float(n)), F.lit(1 - alpha)) * (1 - 1e-9)
     least = texts.select(F.explode("terms").alias("term")).join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_least"))
