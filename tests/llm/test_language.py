@@ -61,3 +61,11 @@ def test_backing_off_matches_brute_force(spark):
                 break
         got = model.back_off([word])[0]
         assert abs(got[0] - want[0]) < 1e-4 and abs(got[1] - want[1]) < 1e-4, word
+
+
+def test_numerals_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "der hund", "de"), (2, "the dog", "en")], "doc_id long, text string, lang string")
+    model = language.train(docs)
+    names, scores = model.predict(["² ½", "Ⅷ ① 12", "m² the", "ß"])
+    assert names[:2] == ["und", "und"] and list(scores[:2]) == [0, 0] and names[2] == "en" and names[3] != "und"
+    assert language.words_of("Œuvre, m² x3y ½") == ["œuvre", "m", "x", "y"]

@@ -43,8 +43,10 @@ from tidelog.llm import arrays, substrings
 from tidelog.llm.components import components
 from tidelog.llm.scratch import Scratch
 
+MOST_TIMES = (1 << 16) - 1  # so far rarity is counted; it sets an order only, and any order is exact
 PIVOTS, MOST_PIVOTS = 8, 512  # pivots of a region: one in the first round, PIVOTS in the second, then twice as many each round
 _SHORT, _SET = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+PACKS = "part int, chunk int, hashes binary, many binary"
 MEMBERS = "region long, node long, n int, pos int"
 POINTS = "doc_id long, node long, n int, near array<long>"
 
@@ -93,7 +95,7 @@ def _chunk_sets(table: pa.Table, k: int) -> tuple[list[int | None], np.ndarray,
 def points(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """POINTS: doc_id, node, n and the first regions (the window of its nearest pivots, rarest first) of every document."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number
-    chunks, parts = max(8, -(-size // substrings.CHUNK_BYTES)), max(8, -(-size // 6 // substrings.RANGE_HASHES))
+    chunks, bits = max(8, -(-size // substrings.CHUNK_BYTES)), substrings.range_bits(size // 6)
     cut = np.uint64(64 - min(64, max(32, int(size // 6).bit_length() + 8)))  # shortened: hardly any two shingles meet
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
@@ -102,9 +104,8 @@ def points(docs: DataFrame, k: int, percent: int) -> DataFrame:
         once = np.zeros(len(n), bool)
         once[first] = True
         keys, times = np.unique(h[np.repeat(once, n)] >> cut, return_counts=True)
-        cuts = _part_cuts(keys, parts, cut)
-        rows = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-        times = np.minimum(times, 255).astype(np.uint8)
+        rows = list(zip(*(x.tolist() for x in substrings.ranges_of(keys, 64 - int(cut) - bits)), strict=True))
+        times = np.minimum(times, MOST_TIMES).astype(np.uint16)
         return pa.table(
             {
                 "part": pa.array([i for i, _, _ in rows], pa.int32()),
@@ -116,12 +117,12 @@ def points(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
         lists = [substrings.undeltas(x) for x in table["hashes"].to_pylist()]
-        times = np.concatenate([np.frombuffer(zstandard.decompress(x), np.uint8) for x in table["many"].to_pylist()])
+        times = np.concatenate([np.frombuffer(zstandard.decompress(x), np.uint16) for x in table["many"].to_pylist()])
         _, place = np.unique(np.concatenate(lists), return_inverse=True)
-        total = np.minimum(np.bincount(place, weights=times)[place], 255).astype(np.uint8)
+        total = np.minimum(np.bincount(place, weights=times)[place], MOST_TIMES).astype(np.uint16)
         ends = np.cumsum([len(x) for x in lists])
-        bits = [zstandard.compress(x.tobytes(), 1) for x in np.split(total, ends[:-1])]
-        return pa.table({"chunk": table["chunk"], "part": pa.array([key[0].as_py()] * len(lists), pa.int32()), "bits": pa.array(bits, pa.binary())})
+        levels = [zstandard.compress(x.tobytes(), 1) for x in np.split(total, ends[:-1])]
+        return pa.table({"chunk": table["chunk"], "part": pa.array([key[0].as_py()] * len(lists), pa.int32()), "bits": pa.array(levels, pa.binary())})
 
     def place(_: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
         schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("near", pa.list_(pa.int64()))])
@@ -129,11 +130,13 @@ def points(docs: DataFrame, k: int, percent: int) -> DataFrame:
             return schema.empty_table()
         ids, n, h = _chunk_sets(table, k)
         keys, where = np.unique(h >> cut, return_inverse=True)
-        cuts, level = _part_cuts(keys, parts, cut), np.zeros(len(keys), np.uint8)
-        for part, bits in zip(told["part"].to_pylist(), told["bits"].to_pylist(), strict=True):
-            level[cuts[part] : cuts[part + 1]] = np.frombuffer(zstandard.decompress(bits), np.uint8)
+        where_of = {p: (a, b) for p, a, b in zip(*(x.tolist() for x in substrings.ranges_of(keys, 64 - int(cut) - bits)), strict=True)}
+        level = np.zeros(len(keys), np.uint16)
+        for part, packed in zip(told["part"].to_pylist(), told["bits"].to_pylist(), strict=True):
+            a, b = where_of[part]
+            level[a:b] = np.frombuffer(zstandard.decompress(packed), np.uint16)
         of = np.repeat(np.arange(len(n)), n)
-        order = np.lexsort(((level[where].astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8)), of)) if len(h) else np.zeros(0, int)
+        order = np.lexsort(((level[where].astype(np.uint64) << np.uint64(48)) | (h >> np.uint64(16)), of)) if len(h) else np.zeros(0, int)
         rank = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
         window = np.where(n > 0, n * (100 - percent) // 100 + 1, 0)
         near = h[order][rank < np.repeat(window, n)]
@@ -142,14 +145,10 @@ def points(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
     packed = dealt.mapInArrow(substrings.pack, substrings.PACKED)
-    told = packed.groupBy("chunk").applyInArrow(send, substrings.SENT).groupBy("part").applyInArrow(add, substrings.BITS)
+    told = packed.groupBy("chunk").applyInArrow(send, PACKS).groupBy("part").applyInArrow(add, substrings.BITS)
     return packed.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(place, POINTS)
 
 
-def _part_cuts(ascending: np.ndarray, parts: int, cut: np.uint64) -> np.ndarray:
-    return substrings.cuts_of(ascending, parts, 64 - int(cut))
-
-
 def crowded(members: DataFrame, percent: int) -> DataFrame:
     """Members with a neighbour that their sizes let be within the radius; regions are split where sizes leave a gap.
 

@@ -6,14 +6,15 @@ LONGEST down to 1, of which at least one n-gram was seen, and adds the mean over
 sum wins; the score is its posterior when the mean score of a word is sharpened by at most SHARPEN words.
 
 Training counts every word of all training rows in Spark, and the n-grams of every counted word. All of them are
-known; the model stays a pair of tables. Documents are cut into chunks of about CHUNK characters, whose distinct
-words are joined with the scores, and the scores go back to the chunk. Unseen words are backed off once for all
-documents, one length after the other. N-grams, and unseen words while they are backed off, are known by 64-bit
-hashes. train() collects the model for use in one process, where it fits.
+known; the model stays a pair of tables. Documents are cut into chunks of about CHUNK characters. A chunk asks for its
+distinct words and all their n-grams by 64-bit hash, packed by ranges of hashes; each range of the model answers with the
+scores of those it knows, and the chunk, which now holds all of the model that it needs, scores its documents. Only what is
+distinct in a chunk is shuffled. The number of ranges follows the number of chunks, and a range that a chunk asks
+nothing of costs nothing. train() collects the model for use in one process, where it fits.
 
 Defined cases. Null text, or a text with no letter: `und`, score 0. No training rows: `und`, score 0. One
 language only: that, score 1. Ties: the language first in the alphabet. Training rows with null text or lang
-are not used. Empty table: no rows. Repeated rows: each gets its own row. Further columns are ignored. Texts
+are not used. Characters that are numerals (², ½, Ⅷ) are no letters. Empty table: no rows. Repeated rows: each gets its own row. Further columns are ignored. Texts
 are never cut.
 """
 
@@ -25,22 +26,38 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import arrays
+from tidelog.llm import arrays, substrings
 from tidelog.llm.scratch import Scratch
 
 LONGEST = 5
 CHUNK = 32 << 20
 SHARPEN = 50
-LETTERS = re.compile(r"[^\W\d_]+")
+ASCII_LETTERS, LETTERS = re.compile("[a-z]+"), regex.compile(r"\p{L}+")
 FLUSH = 200_000  # distinct (language, word) counts held by a task before it hands them on
 SLICE = 1 << 21  # characters scored together
 
 
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters, lower case."""
+    if not text:
+        return []
+    text = text.lower()
+    return (ASCII_LETTERS if text.isascii() else LETTERS).findall(text)
+
+
+def word_hashes(words: list[str]) -> np.ndarray:
+    data = np.frombuffer(("\n".join(words) + "\n").encode(), np.uint8)
+    ends = np.flatnonzero(data == 10) if words else np.zeros(0, np.int64)
+    starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+    return arrays.mix(arrays.hash_runs(data, starts, ends) ^ arrays.BASE)
+
+
 class WordList:
     """Code points of words, each between two marks, and the hashes of their n-grams."""
 
@@ -92,7 +109,7 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """The language and the score of each text."""
-        split = [LETTERS.findall(t.lower()) if t else [] for t in texts]
+        split = [words_of(t) for t in texts]
         sizes = np.fromiter(map(len, split), np.int64, len(split))
         names, scores = ["und"] * len(texts), np.zeros(len(texts))
         if not self.langs or not sizes.sum():
@@ -142,7 +159,7 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             own = held.setdefault(lang, Counter())
             before = len(own)
-            own.update(LETTERS.findall(text.lower()))
+            own.update(words_of(text))
             size += len(own) - before
             if size >= FLUSH:
                 yield from flush()
@@ -211,7 +228,7 @@ def train(docs: DataFrame) -> Model:
     return Model(counts.langs, words, by_n)
 
 
-CHUNKS = "chunk long, ids array<long>, held array<boolean>, sizes binary, rows binary, words array<string>"
+CHUNKS = "chunk long, ids array<long>, held array<boolean>, sizes binary, rows binary, words binary"
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,14 +237,14 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in CHUNKS.split(", ")]
 
     def flush() -> pa.RecordBatch:
-        packed = [press.compress(b"".join(x.tobytes() for x in y)) for y in ([np.array(sizes, np.int64)], rows)]
-        columns = [pa.array([(part << 32) + serial], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), *(pa.array([x], pa.binary()) for x in packed), pa.array([list(own)], pa.list_(pa.string()))]
+        packed = [press.compress(x) for x in (np.array(sizes, np.int64).tobytes(), b"".join(x.tobytes() for x in rows), "\n".join(own).encode())]
+        columns = [pa.array([(part << 32) + serial], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())), *(pa.array([x], pa.binary()) for x in packed)]
         return pa.RecordBatch.from_arrays(columns, names)
 
     ids, held, sizes, rows, own, size = [], [], [], [], {}, 0
     for batch in batches:
         for doc, out, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text")), strict=True):
-            found = LETTERS.findall(text.lower()) if text else []
+            found = words_of(text)
             ids.append(doc)
             held.append(out)
             sizes.append(len(found))
@@ -240,32 +257,43 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _grams_of(n: int):
-    """(w, h) of every n-gram of distinct words; w: a hash of the word."""
+def _words_in(packed: bytes) -> list[str]:
+    text = zstandard.ZstdDecompressor().decompress(packed).decode()
+    return text.split("\n") if text else []
+
+
+def _asked(words: list[str]) -> np.ndarray:
+    """Hashes of the words and of all their n-grams, distinct and ascending."""
+    listed = WordList(words)
+    return np.unique(np.concatenate([word_hashes(words), *(listed.grams(n)[1] for n in range(1, LONGEST + 1))]))
+
+
+def _send(bits: int):
+    """What each chunk asks of each range of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                word, h = WordList(batch.column("word").to_pylist()).grams(n)
-                yield pa.RecordBatch.from_arrays([batch.column("w").take(pa.array(word)), pa.array(arrays.signed(h))], ["w", "h"])
+            for chunk, packed in zip(batch.column("chunk").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                asked = _asked(_words_in(packed))
+                parts, starts, ends = substrings.ranges_of(asked, 64 - bits)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(parts, pa.int32()), pa.array(np.full(len(parts), chunk, np.int64)), pa.array([substrings.deltas(asked[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary())], ["part", "chunk", "hashes"]
+                )
 
     return run
 
 
-def back_off(words: DataFrame, counts: Counts, scratch: Scratch) -> DataFrame:
-    """word, v: scores of unseen distinct words; words without a seen n-gram are left out."""
-    left, out = scratch.save(words.select("word", F.xxhash64("word").alias("w")), "unseen"), None
-    scratch.release()
-    for n in range(LONGEST, 0, -1):
-        hits = left.mapInArrow(_grams_of(n), "w long, h long").join(counts.gram_scores(n), "h")
-        means = hits.groupBy("w").agg(*(F.avg(F.col("v")[i]).cast("float").alias(f"v{i}") for i in range(len(counts.langs))))
-        found = scratch.save(left.join(means.select("w", F.array(*(f"v{i}" for i in range(len(counts.langs)))).alias("v")), "w", "left"), "backed-off")
-        own = found.where("v is not null").select("word", "v")
-        out = own if out is None else out.unionByName(own)
-        scratch.drop(left)
-        left = found.where("v is null").select("word", "w")
-        scratch.release()
-    return out
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(word_hashes(batch.column("word").to_pylist()))), batch.column("v")], ["h", "v"])
+
+
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """A column of float lists as rows."""
+    flat = column.combine_chunks()
+    flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) and flat.num_chunks else flat
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, width) if len(column) else np.zeros((0, width), np.float32)
 
 
 def identified(docs: DataFrame, counts: Counts, scratch: Scratch) -> DataFrame:
@@ -273,27 +301,51 @@ def identified(docs: DataFrame, counts: Counts, scratch: Scratch) -> DataFrame:
     schema = "doc_id long, held_out boolean, lang_pred string, score double"
     if not counts.langs:
         return predict(docs, Model([], {}, {}))
+    langs, width = counts.langs, len(counts.langs)
     chunks = scratch.save(docs.select("doc_id", "held_out", "text").mapInArrow(_chunks, CHUNKS), "chunks")
-    pairs = chunks.select("chunk", F.posexplode("words").alias("i", "word"))
-    known = counts.word_scores()
-    unseen = pairs.select("word").distinct().join(known, "word", "left_anti")
-    scores = known.unionByName(back_off(unseen, counts, scratch))
-    scored = pairs.join(scores, "word").select(F.col("chunk").alias("of"), "i", "v")
-    langs = counts.langs
-
-    def run(chunk: pa.Table, found: pa.Table) -> pa.Table:
+    bits = max(3, (chunks.count() - 1).bit_length())
+    scores = counts.word_scores().mapInArrow(_hashed, "h long, v array<float>")
+    for n in range(1, LONGEST + 1):
+        scores = scores.unionByName(counts.gram_scores(n))
+    model = scores.select(F.shiftrightunsigned("h", 64 - bits).cast("int").alias("part"), "h", "v")
+    packs = chunks.select("chunk", "words").mapInArrow(_send(bits), "part int, chunk long, hashes binary")
+
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        h = known["h"].to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(h)
+        h, v = h[order], _matrix(known["v"], width)[order].astype(np.float32)
+        bits_of, values = [], []
+        for packed in asked["hashes"].to_pylist():
+            own = substrings.undeltas(packed)
+            at = np.minimum(np.searchsorted(h, own), max(0, len(h) - 1))
+            hit = h[at] == own if len(h) else np.zeros(len(own), bool)
+            bits_of.append(np.packbits(hit).tobytes())
+            values.append(zstandard.compress(v[at[hit]].T.tobytes() if len(h) else b"", 3))
+        return pa.table([asked["chunk"], asked["part"], pa.array(bits_of, pa.binary()), pa.array(values, pa.binary())], ["chunk", "part", "known", "v"])
+
+    answers = packs.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(answer, "chunk long, part int, known binary, v binary")
+
+    def run(chunk: pa.Table, told: pa.Table) -> pa.Table:
         un = zstandard.ZstdDecompressor()
         sizes, rows = (np.frombuffer(un.decompress(chunk[c][0].as_py()), kind) for c, kind in (("sizes", np.int64), ("rows", np.int32)))
-        table = np.zeros((chunk["n_words"][0].as_py(), len(langs)), np.float32)  # words with nothing seen stay 0
-        if found.num_rows:
-            v = found["v"].combine_chunks()
-            v = v.chunk(0) if isinstance(v, pa.ChunkedArray) else v
-            table[found["i"].to_numpy()] = v.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(langs))
+        words = _words_in(chunk["words"][0].as_py())
+        asked = _asked(words)
+        parts, starts, ends = substrings.ranges_of(asked, 64 - bits)
+        where = {p: (a, b) for p, a, b in zip(parts.tolist(), starts.tolist(), ends.tolist(), strict=True)}
+        hit, v = np.zeros(len(asked), bool), np.zeros((len(asked), width), np.float32)
+        for part, known, values in zip(told["part"].to_pylist(), told["known"].to_pylist(), told["v"].to_pylist(), strict=True):
+            a, b = where[part]
+            hit[a:b] = np.unpackbits(np.frombuffer(known, np.uint8), count=b - a).astype(bool)
+            v[a:b][hit[a:b]] = np.frombuffer(un.decompress(values), np.float32).reshape(width, -1).T
+        own = np.searchsorted(asked, word_hashes(words))
+        table = v[own]
+        unseen = np.flatnonzero(~hit[own]) if len(words) else np.zeros(0, np.int64)
+        grams = asked[hit], v[hit]
+        table[unseen] = Model(langs, {}, dict.fromkeys(range(1, LONGEST + 1), grams)).back_off([words[i] for i in unseen])  # hashes of n-grams tell their length
         names, best = _decided(langs, table, rows, sizes)
         return pa.table([pa.array(chunk["ids"][0].as_py(), pa.int64()), pa.array(chunk["held"][0].as_py(), pa.bool_()), pa.array(names, pa.string()), pa.array(best, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
-    bodies = chunks.select("chunk", "ids", "held", "sizes", "rows", F.size("words").alias("n_words"))
-    return bodies.groupBy("chunk").cogroup(scored.groupBy("of")).applyInArrow(run, schema)
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

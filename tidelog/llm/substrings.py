@@ -1,19 +1,20 @@
 """Substring dedup (operator 8): repeated windows of WINDOW words are removed.
 
-Every window of WINDOW consecutive words of every text gets a 64-bit Rabin-Karp hash. Texts are dealt by
-hash into chunks of bounded size (their number follows the input), each chunk packs its window hashes by
-hash range, Spark brings the packs of one range together, and what occurs twice or more is reported back to
-its chunk as one bit for each distinct hash. The chunk then merges its repeated windows into maximal
+Every window of WINDOW consecutive words of every text gets two Rabin-Karp hashes, of 64 and of 32 bits; windows are the
+same if both agree. Texts are dealt by hash into chunks of bounded size (their number follows the input), each chunk packs
+its window hashes by their leading bits, Spark brings the packs of one range together, and what occurs twice or more is
+reported back to its chunk as one bit for each distinct hash. The chunk then merges its repeated windows into maximal
 removal intervals. A hash that a chunk holds several times travels once, with a flag: a passage that stands
-in a third of all texts costs one entry per chunk, and no range gathers the copies.
+in a third of all texts costs one entry per chunk, and no range gathers the copies. A range of which a chunk holds nothing
+costs nothing, so the work follows the number of windows however many ranges there are.
 
 The two passes over a chunk read one shuffle of the texts, which are compressed before it.
 
 Defined cases. Null and empty texts: no words, nothing removed, the digest of the empty string. Texts
 shorter than a window lose nothing. Repeated rows are copies of each other: each window of either repeats.
 Empty table: no rows. Further columns of the input are ignored. Texts are never cut; a text is handled whole
-within its chunk. Two different windows with one 64-bit hash would both go; at 10^12 windows that is
-expected for fewer than 10^5 of them, and none is expected below 10^9.
+within its chunk. Two different windows with one pair of hashes would both go; among 10^13 windows fewer than one in a
+thousand such pairs is expected.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ WINDOW = 35
 #: Bytes of text in a chunk, and window hashes in one range, on average.
 CHUNK_BYTES, RANGE_HASHES = 12 << 20, 1 << 21
 PACKED = "chunk int, doc_id long, packed binary"
-SENT = "part int, chunk int, hashes binary, many binary"
+SENT = "part int, chunk int, hashes binary, checks binary, many binary"
 BITS = "chunk int, part int, bits binary"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, intervals array<struct<start:int,end:int>>"
 
@@ -45,12 +46,29 @@ def _words(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.nd
         yield first, data, starts, ends, doc, arrays.hash_runs(data, starts, ends)
 
 
-def _window_hashes(texts: list[bytes], k: int) -> np.ndarray:
-    """Hashes of all windows of the texts, in order of text and place."""
-    found = []
+_SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _window_hashes(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both hashes of all windows of the texts, in order of text and place."""
+    found, checks = [], []
     for _, _, _, _, doc, h in _words(pa.array(texts, pa.binary()).cast(pa.large_binary()).cast(pa.large_string())):
-        found.append(arrays.windows(h, k)[arrays.whole(doc, k)])
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+        inside = arrays.whole(doc, k)
+        found.append(arrays.windows(h, k)[inside])
+        checks.append((arrays.windows(arrays.mix(h ^ _SECOND), k)[inside] >> np.uint64(32)).astype(np.uint32))
+    return (np.concatenate(found), np.concatenate(checks)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+
+
+def _distinct(hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of (hash, check), where each distinct pair begins in it, and the distinct pair of every place."""
+    order = np.argsort(hashes, kind="stable")
+    if (same := np.flatnonzero(hashes[order[1:]] == hashes[order[:-1]])).size and (checks[order[same]] != checks[order[same + 1]]).any():
+        order = np.lexsort((checks, hashes))  # windows that share the first hash only
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[order[1:]] != hashes[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])
+    place = np.empty(len(hashes), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order, np.flatnonzero(new), place
 
 
 def unpacked(table: pa.Table) -> tuple[list[int | None], list[bytes]]:
@@ -67,29 +85,39 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("doc_id"), packed], ["chunk", "doc_id", "packed"])
 
 
-def send(k: int, parts: int):
+def send(k: int, bits: int):
     """The distinct window hashes of one chunk, by range, ascending, with a bit for those it has more than once."""
 
     def one(key: tuple, table: pa.Table) -> pa.Table:
-        hashes, counts = np.unique(_window_hashes(unpacked(table)[1], k), return_counts=True)
-        cuts = cuts_of(hashes, parts)
-        rows = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-        chunk = key[0].as_py()
+        hashes, checks = _window_hashes(unpacked(table)[1], k)
+        order, first, _ = _distinct(hashes, checks)
+        counts = np.diff(np.append(first, len(hashes)))
+        hashes, checks = hashes[order[first]], checks[order[first]]
+        parts, starts, ends = ranges_of(hashes, 64 - bits)
+        rows = list(zip(starts.tolist(), ends.tolist(), strict=True))
         return pa.table(
             {
-                "part": pa.array([i for i, _, _ in rows], pa.int32()),
-                "chunk": pa.array([chunk] * len(rows), pa.int32()),
-                "hashes": pa.array([deltas(hashes[a:b]) for _, a, b in rows], pa.binary()),
-                "many": pa.array([np.packbits(counts[a:b] > 1).tobytes() for _, a, b in rows], pa.binary()),
+                "part": pa.array(parts, pa.int32()),
+                "chunk": pa.array(np.full(len(rows), key[0].as_py(), np.int32)),
+                "hashes": pa.array([deltas(hashes[a:b]) for a, b in rows], pa.binary()),
+                "checks": pa.array([checks[a:b].tobytes() for a, b in rows], pa.binary()),
+                "many": pa.array([np.packbits(counts[a:b] > 1).tobytes() for a, b in rows], pa.binary()),
             }
         )
 
     return one
 
 
-def cuts_of(ascending: np.ndarray, parts: int, bits: int = 64) -> np.ndarray:
-    """Where each of the equal ranges of a hash space of so many bits begins in ascending hashes, and their end."""
-    return np.append(np.searchsorted(ascending, np.array([(i << bits) // parts for i in range(parts)], np.uint64)), len(ascending))
+def ranges_of(ascending: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(range, start, end) of each range of ascending hashes that holds one; a range is what is left of a hash after the shift."""
+    lead = ascending >> np.uint64(shift)
+    starts = np.flatnonzero(np.concatenate([[True], lead[1:] != lead[:-1]])) if len(lead) else np.zeros(0, np.int64)
+    return lead[starts].astype(np.int64), starts, np.append(starts[1:], len(lead)) if len(lead) else starts
+
+
+def range_bits(hashes: int) -> int:
+    """How many leading bits tell ranges of about RANGE_HASHES of so many hashes apart."""
+    return min(30, max(3, (-(-hashes // RANGE_HASHES) - 1).bit_length()))
 
 
 def deltas(ascending: np.ndarray) -> bytes:
@@ -113,15 +141,11 @@ def undeltas(data: bytes) -> np.ndarray:
 
 def judge(key: tuple, table: pa.Table) -> pa.Table:
     """For one range: which entries of each chunk repeat, there or in another chunk."""
-    chunks, packs, many = (table[c].to_pylist() for c in ("chunk", "hashes", "many"))
+    chunks, packs, sums, many = (table[c].to_pylist() for c in ("chunk", "hashes", "checks", "many"))
     lists = [undeltas(x) for x in packs]
-    flat = np.concatenate(lists)
-    order = np.argsort(flat, kind="stable")
-    ordered = flat[order]
-    same = ordered[1:] == ordered[:-1]
-    repeated = np.zeros(len(flat), bool)
-    repeated[order[1:][same]] = True
-    repeated[order[:-1][same]] = True
+    flat, checks = np.concatenate(lists), np.concatenate([np.frombuffer(x, np.uint32) for x in sums])
+    _, first, place = _distinct(flat, checks)
+    repeated = np.bincount(place, minlength=len(first))[place] > 1
     bits, at = [], 0
     for h, m in zip(lists, many, strict=True):
         own = np.unpackbits(np.frombuffer(m, np.uint8), count=len(h)).astype(bool)
@@ -130,20 +154,21 @@ def judge(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array(chunks, pa.int32()), "part": pa.array([key[0].as_py()] * len(chunks), pa.int32()), "bits": pa.array(bits, pa.binary())})
 
 
-def cut(k: int, parts: int):
+def cut(k: int, bits: int):
     """Removes the repeated windows of one chunk; the words of a text that no repeated window covers stay."""
 
     def one(_: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
         if not len(table):
             return pa.table({n: [] for n in ("doc_id", "n_words", "n_removed", "kept_sha256", "intervals")}, schema=_RESULT)
         ids, texts = unpacked(table)
-        hashes = _window_hashes(texts, k)
-        distinct, place = np.unique(hashes, return_inverse=True)
-        cuts = cuts_of(distinct, parts)
+        hashes, checks = _window_hashes(texts, k)
+        order, first, place = _distinct(hashes, checks)
+        where = {p: (a, b) for p, a, b in zip(*(x.tolist() for x in ranges_of(hashes[order[first]], 64 - bits)), strict=True)}
+        distinct = first
         repeated = np.zeros(len(distinct), bool)
-        for part, bits in zip(told["part"].to_pylist(), told["bits"].to_pylist(), strict=True):
-            a, b = cuts[part], cuts[part + 1]
-            repeated[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a)
+        for part, packed in zip(told["part"].to_pylist(), told["bits"].to_pylist(), strict=True):
+            a, b = where[part]
+            repeated[a:b] = np.unpackbits(np.frombuffer(packed, np.uint8), count=b - a)
         hit = repeated[place] if len(distinct) else np.zeros(0, bool)
         n_words, n_removed, shas, spans, at = [], [], [], [], 0
         for text in texts:
@@ -179,12 +204,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0  # one number
     chunks = max(8, -(-size // CHUNK_BYTES))
-    parts = max(8, -(-size // 6 // RANGE_HASHES))
+    bits = range_bits(size // 6)
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
     packed = dealt.mapInArrow(pack, PACKED)
-    sent = packed.groupBy("chunk").applyInArrow(send(window, parts), SENT)
+    sent = packed.groupBy("chunk").applyInArrow(send(window, bits), SENT)
     told = sent.groupBy("part").applyInArrow(judge, BITS)
-    return packed.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(cut(window, parts), RESULT)
+    return packed.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(cut(window, bits), RESULT)
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
