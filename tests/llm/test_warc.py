@@ -73,3 +73,32 @@ def test_smaller_payloads_are_all_responses(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read(warc.write(df, f"file://{tmp_path}/b")).count() == 0
+
+
+def test_a_block_that_is_not_what_its_headers_say(spark, tmp_path):
+    import pytest
+
+    df = spark.createDataFrame([(1, "http://a/", "one"), (2, "http://a/", "two")], "page_id long, url string, html string")
+    index = warc.write(df.coalesce(1), f"file://{tmp_path}/w")
+    assert warc.read(index).count() == 2
+    path = index.first().bundle.removeprefix("file://")
+    with open(path, "rb") as f:
+        data = f.read()
+    first = index.first()
+    raw = zstandard.ZstdDecompressor().decompress(data[first.frame_at : first.frame_at + first.frame_size], max_output_size=first.raw_size)
+    changed = zstandard.ZstdCompressor().compress(raw.replace(b"\r\n\r\none", b"\r\n\r\nONE"))
+    with open(path, "wb") as f:
+        f.write(changed)
+    from pyspark.sql import functions as F
+
+    with pytest.raises(Exception, match="headers"):
+        warc.read(index.withColumn("frame_size", F.lit(len(changed)).cast("long"))).collect()
+
+
+def test_records_without_a_page_have_identifiers_of_their_own(spark, tmp_path):
+    df = spark.createDataFrame([(None, "http://a/", "one"), (None, "http://a/", "two"), (None, None, None)], "page_id long, url string, html string")
+    index = warc.write(df, f"file://{tmp_path}/w").collect()
+    assert len({r.record_id for r in index}) == 3
+    full = warc.write(df, f"file://{tmp_path}/v")
+    for r in full.collect():
+        assert warc.seek(full, r.record_id)[0]["WARC-Record-ID"] == f"<{r.record_id}>"

@@ -12,8 +12,9 @@ files by its own attempt; only files named in the committed index count, so a re
 Bundles go through pyarrow's file systems, so the folder's URI may be of any of them (file, hdfs, s3).
 
 Defined cases. Null html: an empty payload. Equal empty payloads revisit each other too where min_bytes is 0.
-Null url: the record has no target. Null page_id: always a response, never referred to, and no identifier to
-seek. Repeated rows (one id, one payload): each is written; the copies are responses. Empty table: no
+Null url: the record has no target. Null page_id: always a response, and nothing to
+refer to; its record has an identifier of its own, made of its bundle and place. Repeated rows (one id, one payload): each
+is written; the copies are responses. A block that does not have the length and digest of its headers: an error. Empty table: no
 bundles, no rows. Further columns are ignored. Payloads are never cut.
 """
 
@@ -46,24 +47,25 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id: int | None, url: str | None) -> str:
-    name = uuid.uuid5(uuid.NAMESPACE_URL, f"page:{page_id}") if page_id is not None else uuid.uuid5(uuid.NAMESPACE_URL, f"none:{url}")
+def record_id(page_id: int | None, place: str | None = None) -> str:
+    """The identifier of a page's record, or of a record without a page at a place."""
+    name = uuid.uuid5(uuid.NAMESPACE_URL, f"page:{page_id}" if page_id is not None else f"none:{place}")
     return f"urn:uuid:{name}"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, name: str | None = None) -> bytes:
     """One WARC/1.1 record; a revisit has no block and names the response that has it."""
     revisit = refers_to is not None
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <{record_id(page_id, url)}>",
+        f"WARC-Record-ID: <{name or record_id(page_id, url)}>",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}",
         f"X-Payload-Length: {len(payload)}",
         *([f"X-Page-ID: {page_id}"] if page_id is not None else []),
         *([f"WARC-Target-URI: {url.encode('unicode_escape').decode()}"] if url is not None else []),
-        *([f"WARC-Refers-To: <{record_id(refers_to, None)}>", f"X-Refers-To-Page: {refers_to}", f"WARC-Profile: {PROFILE}"] if revisit else ["Content-Type: text/html; charset=utf-8"]),
+        *([f"WARC-Refers-To: <{record_id(refers_to)}>", f"X-Refers-To-Page: {refers_to}", f"WARC-Profile: {PROFILE}"] if revisit else ["Content-Type: text/html; charset=utf-8"]),
         f"Content-Length: {0 if revisit else len(payload)}",
     ]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + (b"" if revisit else payload) + b"\r\n\r\n"
@@ -167,7 +169,8 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
                 if bundle is None:
                     name = f"pages-{task.partitionId():05d}-{task.taskAttemptId()}-{serial}.warc.zst"
                     bundle, serial = Bundle(fs, f"{path}/{name}", f"{folder}/{name}"), serial + 1
-                rows += bundle.add(page, record_id(page, url), record(page, url, payload.as_py(), to))
+                own = record_id(page, f"{bundle.uri}:{len(bundle.sizes)}:{bundle.filled}")
+                rows += bundle.add(page, own, record(page, url, payload.as_py(), to, own))
                 if bundle.at >= BUNDLE:
                     rows += bundle.close()
                     bundle = None
@@ -188,7 +191,8 @@ def _range(fs: pafs.FileSystem, path: str, at: int, size: int) -> bytes:
 
 
 def read(index: DataFrame) -> DataFrame:
-    """READ rows of every indexed record, frame by frame; a revisit's payload is null, its size and digest those of the full payload."""
+    """READ rows of every indexed record, frame by frame. A response's size and digest are those of the block that was read,
+    which must be those of its headers; a revisit has no block, its payload is null and its headers tell of the full payload."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         un = zstandard.ZstdDecompressor()
@@ -201,7 +205,12 @@ def read(index: DataFrame) -> DataFrame:
                     f, block = parse(data[place["offset"] : place["offset"] + place["length"]])
                     revisit = f["WARC-Type"] == "revisit"
                     page, to, url = f.get("X-Page-ID"), f.get("X-Refers-To-Page"), f.get("WARC-Target-URI")
-                    rows.append((page and int(page), int(f["X-Payload-Length"]), f["WARC-Payload-Digest"].removeprefix("sha1:"), f["WARC-Type"], to and int(to), url and url.encode().decode("unicode_escape"), None if revisit else block))
+                    size, digest = int(f["X-Payload-Length"]), f["WARC-Payload-Digest"].removeprefix("sha1:")
+                    if not revisit:
+                        told, size, digest = (size, digest), len(block), base32_sha1(block)
+                        if told != (size, digest):
+                            raise ValueError(f"{f['WARC-Record-ID']}: the block is not what its headers say")
+                    rows.append((page and int(page), size, digest, f["WARC-Type"], to and int(to), url and url.encode().decode("unicode_escape"), None if revisit else block))
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], [x.split()[0] for x in READ.split(", ")])
 
