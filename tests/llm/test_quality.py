@@ -79,3 +79,16 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     assert quality.op4_quality(spark, str(tmp_path)).count() == 0
+
+
+def test_a_repeated_id_brings_one_text(spark):
+    seen = []
+    rows = [(1, f"text number {i} " * 20) for i in range(400)] + [(2, "other " * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    fit, quality.fit = quality.fit, lambda texts, *a: seen.append(texts) or fit(texts, *a)
+    try:
+        quality.train(docs, labels)
+    finally:
+        quality.fit = fit
+    assert len(seen[0]) == 2

@@ -4,7 +4,7 @@ The rules count words, symbols, repeated lines and words in repeated three-word
 logistic regression over hashed features in three families (words, word pairs and character 4-grams, ASCII
 lower case), each family's counts divided by its total, so that length alone says nothing. It is fitted on
 labelled quality rows: about TRAIN_ROWS of them, chosen by a hash of doc_id, of texts up to TRAIN_BYTES
-bytes (both documented bounds of the sample; they bound the driver's memory and touch nothing else). A fifth
+bytes, one text (the least) for each doc_id (both documented bounds of the sample; they bound the driver's memory and touch nothing else). A fifth
 of the sample is held out and fits Platt's two calibration parameters. Texts are scored in Arrow batches
 against the fixed threshold KEEP_AT on the calibrated probability.
 
@@ -205,6 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most_bytes
     n = marked.count()
     share = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 20)) < int(min(1.0, rows / max(n, 1)) * (1 << 20))
     texts = docs.where(share & F.col("text").isNotNull() & (F.octet_length("text") <= most_bytes)).select("doc_id", "text")
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))  # a repeated doc_id counts once
     sample = texts.join(marked.where(share).select("doc_id", "quality"), "doc_id").withColumn("held", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(11)), F.lit(5)) == 0)
     got = sample.toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")])
     return fit(got["text"].to_pylist(), [int(q > 0) for q in got["quality"].to_pylist()], got["held"].to_pylist())

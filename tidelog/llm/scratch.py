@@ -16,9 +16,11 @@ BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests on one machine), one of our own."""
+    """The folder named in spark.checkpoint.dir; where that is unset, one of our own on one machine, and an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder, and the executors do not share this machine's")
         named = f"file://{tempfile.mkdtemp(prefix='tidelog-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
