@@ -7,12 +7,12 @@ all of them, so only windows near a shared shingle are fingerprinted: each place
 stands in a document implies a start, and all starts within SLACK words of an implied one are windows.
 
 The fingerprint of a window is matched against the items' by a multi-index: 64 bits in BLOCKS blocks. Two
-fingerprints within RADIUS = BLOCKS - 1 bits agree in one block at least, so reading the items that share a
-block misses none within the radius. Those within the radius are verified by weighted Jaccard similarity of the exact
-shingle multisets, which decides at THRESHOLD.
+fingerprints within RADIUS bits differ by PROBE = RADIUS // BLOCKS bits at most in one block at least, so reading the
+items of all values within PROBE bits of each block's value misses none within the radius. Those within the radius are
+verified by weighted Jaccard similarity of the exact shingle multisets, which decides at THRESHOLD.
 
-The items travel to the tasks in portions of about ITEM_BYTES of text (their size is checked first); a larger
-benchmark takes one pass over the documents for each portion.
+The items travel to the tasks in portions of about ITEM_BYTES of text (their size is checked first). Frequencies are counted over
+all of them before they are cut, and the portions are matched one after the other in one pass over the documents.
 
 Defined cases. Null or empty texts on either side: no match. Items of fewer than K words: one shingle, all
 their words. Texts of fewer words than an item: one window, all their words. Empty benchmark or documents: no rows. Repeated document rows: each matches; repeated items each
@@ -22,6 +22,8 @@ count under their own id. Null ids stay null. Further columns are ignored. Texts
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +34,13 @@ from tidelog.llm import arrays
 from tidelog.llm.scratch import bounded_batches
 
 K, THRESHOLD = 5, 0.8
-BLOCKS, RADIUS = 20, 19
+BLOCKS, RADIUS = 5, 19
+PROBE = RADIUS // BLOCKS
 SLACK = 2
 ITEM_BYTES = 8 << 20
 FOUND = "doc_id long, item_id long, similarity double, distance int, start int, n_words int"
+HITS = "array<struct<item_id:bigint,similarity:double,distance:int,start:int,n_words:int>>"
+_HITS = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("distance", pa.int32()), ("start", pa.int32()), ("n_words", pa.int32())]))
 _TABLE_BITS = 22
 
 
@@ -54,6 +59,12 @@ def _pack(votes: np.ndarray) -> np.ndarray:
     return np.packbits(votes > 0, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+@lru_cache
+def _near(width: int) -> np.ndarray:
+    """All values of so many bits with PROBE bits set at most: what a block's value may differ by."""
+    return np.array([sum(1 << b for b in bits) for n in range(PROBE + 1) for bits in combinations(range(width), n)], np.uint64)
+
+
 class Items:
     """The benchmark side: shingles, weights, fingerprints and the multi-index."""
 
@@ -87,12 +98,12 @@ class Items:
         self.at_shingle = np.array([pairs[j][0] for j in order], np.uint64)
         self.at_item = np.array([pairs[j][1] for j in order], np.int64)
         self.at_place = np.array([pairs[j][2] for j in order], np.int64)
-        cuts = np.linspace(0, 64, BLOCKS + 1).astype(int)
-        self.blocks = [(np.uint64(a), np.uint64((1 << (b - a)) - 1)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        self.index: list[dict[int, np.ndarray]] = []
-        for shift, mask in self.blocks:
-            keys = (self.prints >> shift) & mask if len(self.prints) else np.zeros(0, np.uint64)
-            self.index.append({int(v): np.flatnonzero(keys == v) for v in np.unique(keys)})
+        cuts = np.linspace(0, 64, BLOCKS + 1).astype(int).tolist()
+        self.index: list[tuple[int, int, np.ndarray, np.ndarray]] = []  # of each block: shift, width, items by value, where each value begins
+        for at, end in zip(cuts[:-1], cuts[1:], strict=True):
+            keys = (self.prints >> np.uint64(at)) & np.uint64((1 << (end - at)) - 1) if len(self.prints) else np.zeros(0, np.uint64)
+            order = np.argsort(keys, kind="stable")
+            self.index.append((at, end - at, order, np.searchsorted(keys[order], np.arange((1 << (end - at)) + 1, dtype=np.uint64))))
 
     def weights_of(self, grams: np.ndarray) -> np.ndarray:
         if not len(self.shingles):
@@ -107,18 +118,19 @@ class Items:
 
     def within(self, prints: np.ndarray) -> list[tuple[int, int, int]]:
         """(row, item, distance) of all items within RADIUS of each fingerprint, by the multi-index."""
-        found = set()
-        for (shift, mask), index in zip(self.blocks, self.index, strict=True):
-            keys = (prints >> shift) & mask
-            for v in np.unique(keys):
-                items = index.get(int(v))
-                if items is None:
-                    continue
-                rows = np.flatnonzero(keys == v)
-                d = np.bitwise_count(prints[rows][:, None] ^ self.prints[items][None, :])
-                for r, c in np.argwhere(d <= RADIUS):
-                    found.add((int(rows[r]), int(items[c]), int(d[r, c])))
-        return sorted(found)
+        found = []
+        for shift, width, order, begins in self.index:
+            keys = (prints >> np.uint64(shift)) & np.uint64((1 << width) - 1)
+            asked = (keys[:, None] ^ _near(width)[None, :]).astype(np.int64)
+            lo, times = begins[asked], begins[asked + 1] - begins[asked]
+            rows, cols = np.nonzero(times)
+            lo, times = lo[rows, cols], times[rows, cols]
+            at = np.repeat(lo - np.cumsum(times) + times, times) + np.arange(times.sum())
+            found.append(np.repeat(rows, times) * max(1, len(self.prints)) + order[at])
+        both = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        rows, items = np.divmod(both, max(1, len(self.prints)))
+        d = np.bitwise_count(prints[rows] ^ self.prints[items]) if len(both) else np.zeros(0, np.uint8)
+        return [(int(r), int(i), int(x)) for r, i, x in zip(rows[d <= RADIUS], items[d <= RADIUS], d[d <= RADIUS], strict=True)]
 
     def similarity(self, grams: np.ndarray, item: int) -> float:
         """Weighted Jaccard similarity of multisets."""
@@ -187,12 +199,10 @@ def search(items: Items, data: np.ndarray, offsets: np.ndarray) -> Iterator[tupl
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """FOUND rows: the best matching window of every document and item that match."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
-    out = None
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.array().cast(HITS).alias("hits")).where("text is not null")
     for items in portions(benchmark):
-        found = _matches(rows, items)
-        out = found if out is None else out.unionByName(found)
-    return out
+        rows = _with_hits(rows, items)
+    return rows.select("doc_id", F.inline("hits")).select(*(x.split()[0] for x in FOUND.split(", ")))
 
 
 def portions(benchmark: DataFrame) -> Iterator[Items]:
@@ -245,23 +255,21 @@ def without_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
     return rows.toDF(*columns)
 
 
-def _matches(rows: DataFrame, items: Items) -> DataFrame:
+def _with_hits(rows: DataFrame, items: Items) -> DataFrame:
+    """Adds what matches of one portion to each row's hits."""
     sent = rows.sparkSession.sparkContext.broadcast(items)
+    names = [x.split(":")[0] for x in HITS.removeprefix("array<struct<").removesuffix(">>").split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
         for batch in batches:
-            ids = batch.column("doc_id")
+            hits = batch.column("hits").to_pylist()
             for first, _, data, offsets in arrays.slices(batch.column("text")):
-                found = list(search(known, data, offsets))
-                if found:
-                    t = pa.array([first + x[0] for x in found], pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(t), pa.array([known.ids[x[1]] for x in found], pa.int64()), *(pa.array([x[j] for x in found], kind) for j, kind in ((2, pa.float64()), (3, pa.int32()), (4, pa.int32()), (5, pa.int32())))],
-                        [x.split()[0] for x in FOUND.split(", ")],
-                    )
-
-    return rows.mapInArrow(run, FOUND)
+                for t, i, *rest in search(known, data, offsets):
+                    hits[first + t] = [*hits[first + t], dict(zip(names, (known.ids[i], *rest), strict=True))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(hits, _HITS)], ["doc_id", "text", "hits"])
+
+    return rows.mapInArrow(run, f"doc_id long, text string, hits {HITS}")
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
