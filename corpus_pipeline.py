@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; each result is written
 as Parquet in the shared folder and read again. All stages but the last return the columns of documents.
+
+Defined cases. Null and empty texts: rejected by the quality rules; the other stages, given such rows, keep them (each is
+a class of its own, holds nothing and has no tokens). Repeated rows: scored each, one stays of rows that are alike in id and
+text. Different texts under one id, and rows without an id: judged text by text; of a class without any id the text with
+the smallest hash stays. Empty tables: no rows. Further columns, whatever their names, are carried along by all stages but
+the last. Texts are never cut.
 """
 
 from __future__ import annotations
@@ -24,14 +30,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the smallest doc_id; rows repeated whole count as one.
+    """Of each class of near-duplicates the document with the smallest doc_id; rows alike in id and text count as one.
 
-    Classes without an id keep each distinct text once.
+    The join knows documents by a hash of id and text, because ids may repeat or be missing.
     """
-    classes = jaccard.join(docs, SHINGLE, PERCENT)
-    first = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return kept.withColumn("_mark", F.xxhash64("text")).dropDuplicates(["doc_id", "_mark"]).select(*docs.columns)
+    marked = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)), F.xxhash64("doc_id", "text").alias("mark"))  # names may clash
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = marked.select("mark", F.col(at["doc_id"]).alias("doc_id"), F.col(at["text"]).alias("text"))
+    classes = jaccard.join(rows.select("mark", "text"), SHINGLE, PERCENT, id_col="mark").select(F.col("doc_id").alias("mark"), "component_id").distinct()
+    ids = rows.groupBy("mark").agg(F.min("doc_id").alias("doc_id"))
+    first = classes.join(ids, "mark").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first"))
+    kept = marked.join(first.select(F.col("first.mark").alias("mark")), "mark", "left_semi").dropDuplicates(["mark"])
+    return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
