@@ -8,7 +8,7 @@ sum wins; the score is its posterior when the mean score of a word is sharpened
 Training counts every word of all training rows in Spark, and the n-grams of every counted word. All of them are
 known; the model stays a pair of tables. Documents are cut into chunks of about CHUNK characters. A chunk asks for its
 distinct words and all their n-grams by 64-bit hash, packed by ranges of hashes; each range of the model answers with the
-scores of those it knows, and the chunk, which now holds all of the model that it needs, scores its documents. Only what is
+counts of those it knows, and the chunk, which now holds all of the model that it needs, scores its documents. Only what is
 distinct in a chunk is shuffled. The number of ranges follows the number of chunks, and a range that a chunk asks
 nothing of costs nothing. train() collects the model for use in one process, where it fits.
 
@@ -26,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import arrays, substrings
@@ -202,17 +203,26 @@ class Counts:
         self.gram_count = {x["n"]: x["count"] for x in self.grams.groupBy("n").count().collect()}
         scratch.release()
 
-    def _scores(self, size: int, total) -> Column:
-        """Smoothed log-frequencies in each language, from the column `by`."""
-        known = F.map_from_entries("by")
-        each = (F.log(F.coalesce(F.try_element_at(known, F.lit(x)), F.lit(0)) + 0.5) - F.lit(float(np.log(total(x) + 0.5 * size))) for x in self.langs)
-        return F.array(*(c.cast("float") for c in each))
+    def floor(self, n: int) -> np.ndarray:
+        """What smoothing takes off log(count + 1/2) in each language; n: the length of n-grams, 0 for words."""
+        size, total = (self.word_count, self.word_sums.get) if n == 0 else (self.gram_count.get(n, 0), lambda x, none: self.gram_sums.get((n, x), none))
+        return np.array([np.log(total(x, 0) + 0.5 * size) if size else 0.0 for x in self.langs])
 
-    def word_scores(self) -> DataFrame:
-        return self.words.select("word", self._scores(self.word_count, lambda x: self.word_sums.get(x, 0)).alias("v"))
+    def scored(self, counts: np.ndarray, n: int) -> np.ndarray:
+        """Smoothed log-frequencies of rows of counts."""
+        return (np.log(counts + 0.5) - self.floor(n)).astype(np.float32)
 
-    def gram_scores(self, n: int) -> DataFrame:
-        return self.grams.where(F.col("n") == n).select("h", self._scores(self.gram_count.get(n, 0), lambda x: self.gram_sums.get((n, x), 0)).alias("v"))
+
+def _matrix(by: pa.Array, langs: list[str]) -> np.ndarray:
+    """Rows of counts in each language, of a column `by`."""
+    if isinstance(by, pa.ChunkedArray):
+        by = by.combine_chunks()
+    rows = np.repeat(np.arange(len(by)), np.diff(by.offsets.to_numpy()))
+    flat = by.flatten()
+    place = pc.index_in(flat.field("lang"), value_set=pa.array(langs, pa.string())).to_numpy(zero_copy_only=False)
+    out = np.zeros((len(by), len(langs)), np.int64)
+    out[rows, place.astype(np.int64)] = flat.field("k").to_numpy(zero_copy_only=False)
+    return out
 
 
 def train(docs: DataFrame) -> Model:
@@ -220,11 +230,14 @@ def train(docs: DataFrame) -> Model:
     counts = Counts(docs, Scratch(docs.sparkSession))
     if not counts.langs:
         return Model([], {}, {})
-    words = {x["word"]: np.array(x["v"], np.float32) for x in counts.word_scores().collect()}
+    table = counts.words.select("word", "by").toArrow()
+    words = dict(zip(table["word"].to_pylist(), counts.scored(_matrix(table["by"], counts.langs), 0), strict=True))
     by_n = {}
     for n in counts.gram_count:
-        own = sorted((x["h"] % (1 << 64), x["v"]) for x in counts.gram_scores(n).collect())
-        by_n[n] = (np.array([h for h, _ in own], np.uint64), np.array([v for _, v in own], np.float32))
+        table = counts.grams.where(F.col("n") == n).select("h", "by").toArrow()
+        h = table["h"].to_numpy().view(np.uint64)
+        order = np.argsort(h)
+        by_n[n] = (h[order], counts.scored(_matrix(table["by"], counts.langs)[order], n))
     return Model(counts.langs, words, by_n)
 
 
@@ -283,17 +296,35 @@ def _send(bits: int):
     return run
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            yield pa.RecordBatch.from_arrays([pa.array(arrays.signed(word_hashes(batch.column("word").to_pylist()))), batch.column("v")], ["h", "v"])
+def _packs(h: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
+    """Hashes and counts by range: most counts are small, and few languages have any, so they pack well."""
+    order = np.argsort(h)
+    h, counts = h[order], counts[order]
+    parts, starts, ends = substrings.ranges_of(h, 64 - bits)
+    rows = list(zip(starts.tolist(), ends.tolist(), strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([substrings.deltas(h[a:b]) for a, b in rows], pa.binary()), pa.array([zstandard.compress(counts[a:b].T.tobytes(), 3) for a, b in rows], pa.binary())], ["part", "hashes", "counts"])
 
 
-def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    """A column of float lists as rows."""
-    flat = column.combine_chunks()
-    flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) and flat.num_chunks else flat
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, width) if len(column) else np.zeros((0, width), np.float32)
+def _known(words: bool, langs: list[str], bits: int):
+    """The model's packs, from its tables."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                h = word_hashes(batch.column("word").to_pylist()) if words else batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
+                yield _packs(h, _matrix(batch.column("by"), langs), bits)
+
+    return run
+
+
+class _Grams:
+    """N-grams by length, as in Model; their hashes tell their length, so all lengths share one table of log(count + 1/2)."""
+
+    def __init__(self, hashes: np.ndarray, logs: np.ndarray, floors: list[np.ndarray]) -> None:
+        self.hashes, self.logs, self.floors = hashes, logs, floors
+
+    def get(self, n: int, _: tuple) -> tuple[np.ndarray, np.ndarray]:
+        return self.hashes, (self.logs - self.floors[n]).astype(np.float32)
 
 
 def identified(docs: DataFrame, counts: Counts, scratch: Scratch) -> DataFrame:
@@ -304,26 +335,27 @@ def identified(docs: DataFrame, counts: Counts, scratch: Scratch) -> DataFrame:
     langs, width = counts.langs, len(counts.langs)
     chunks = scratch.save(docs.select("doc_id", "held_out", "text").mapInArrow(_chunks, CHUNKS), "chunks")
     bits = max(3, (chunks.count() - 1).bit_length())
-    scores = counts.word_scores().mapInArrow(_hashed, "h long, v array<float>")
-    for n in range(1, LONGEST + 1):
-        scores = scores.unionByName(counts.gram_scores(n))
-    model = scores.select(F.shiftrightunsigned("h", 64 - bits).cast("int").alias("part"), "h", "v")
+    model = counts.words.select("word", "by").mapInArrow(_known(True, langs, bits), "part int, hashes binary, counts binary")
+    model = model.unionByName(counts.grams.select("h", "by").mapInArrow(_known(False, langs, bits), "part int, hashes binary, counts binary"))
     packs = chunks.select("chunk", "words").mapInArrow(_send(bits), "part int, chunk long, hashes binary")
+    floors = [counts.floor(n) for n in range(LONGEST + 1)]
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        h = known["h"].to_numpy().astype(np.int64).view(np.uint64)
+        un = zstandard.ZstdDecompressor()
+        h = np.concatenate([np.zeros(0, np.uint64), *map(substrings.undeltas, known["hashes"].to_pylist())])
+        counted = np.concatenate([np.zeros((0, width), np.int64), *(np.frombuffer(un.decompress(x), np.int64).reshape(width, -1).T for x in known["counts"].to_pylist())])
         order = np.argsort(h)
-        h, v = h[order], _matrix(known["v"], width)[order].astype(np.float32)
+        h = h[order]
         bits_of, values = [], []
         for packed in asked["hashes"].to_pylist():
             own = substrings.undeltas(packed)
             at = np.minimum(np.searchsorted(h, own), max(0, len(h) - 1))
             hit = h[at] == own if len(h) else np.zeros(len(own), bool)
             bits_of.append(np.packbits(hit).tobytes())
-            values.append(zstandard.compress(v[at[hit]].T.tobytes() if len(h) else b"", 3))
-        return pa.table([asked["chunk"], asked["part"], pa.array(bits_of, pa.binary()), pa.array(values, pa.binary())], ["chunk", "part", "known", "v"])
+            values.append(zstandard.compress(counted[order[at[hit]]].T.tobytes() if len(h) else b"", 3))
+        return pa.table([asked["chunk"], asked["part"], pa.array(bits_of, pa.binary()), pa.array(values, pa.binary())], ["chunk", "part", "known", "counts"])
 
-    answers = packs.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(answer, "chunk long, part int, known binary, v binary")
+    answers = packs.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(answer, "chunk long, part int, known binary, counts binary")
 
     def run(chunk: pa.Table, told: pa.Table) -> pa.Table:
         un = zstandard.ZstdDecompressor()
@@ -333,15 +365,15 @@ def identified(docs: DataFrame, counts: Counts, scratch: Scratch) -> DataFrame:
         parts, starts, ends = substrings.ranges_of(asked, 64 - bits)
         where = {p: (a, b) for p, a, b in zip(parts.tolist(), starts.tolist(), ends.tolist(), strict=True)}
         hit, v = np.zeros(len(asked), bool), np.zeros((len(asked), width), np.float32)
-        for part, known, values in zip(told["part"].to_pylist(), told["known"].to_pylist(), told["v"].to_pylist(), strict=True):
+        for part, known, values in zip(told["part"].to_pylist(), told["known"].to_pylist(), told["counts"].to_pylist(), strict=True):
             a, b = where[part]
             hit[a:b] = np.unpackbits(np.frombuffer(known, np.uint8), count=b - a).astype(bool)
-            v[a:b][hit[a:b]] = np.frombuffer(un.decompress(values), np.float32).reshape(width, -1).T
+            v[a:b][hit[a:b]] = np.log(np.frombuffer(un.decompress(values), np.int64).reshape(width, -1).T + 0.5)
         own = np.searchsorted(asked, word_hashes(words))
-        table = v[own]
+        table = np.where(hit[own][:, None], v[own] - floors[0], 0).astype(np.float32)
         unseen = np.flatnonzero(~hit[own]) if len(words) else np.zeros(0, np.int64)
-        grams = asked[hit], v[hit]
-        table[unseen] = Model(langs, {}, dict.fromkeys(range(1, LONGEST + 1), grams)).back_off([words[i] for i in unseen])  # hashes of n-grams tell their length
+        grams = _Grams(asked[hit], v[hit], floors)
+        table[unseen] = Model(langs, {}, grams).back_off([words[i] for i in unseen])
         names, best = _decided(langs, table, rows, sizes)
         return pa.table([pa.array(chunk["ids"][0].as_py(), pa.int64()), pa.array(chunk["held"][0].as_py(), pa.bool_()), pa.array(names, pa.string()), pa.array(best, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
