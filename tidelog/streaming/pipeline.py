@@ -13,67 +13,133 @@ from tidelog.operators import cdc
 from tidelog.streaming import quarantine
 from tidelog.streaming.store import GenerationTable
 
-
-def apply_batch(table: GenerationTable, batch: DataFrame, batch_id: int, segments: int | None = None, hydrate: Callable[[DataFrame], DataFrame] | None = None) -> bool:
-    """Applies one batch of whole-row changes (key columns, offset, op, values; control if there is one).
-
-    A batch with a reset keeps its reset alone and marks the table for replacement; the next batch without one
-    replaces all rows at once. Otherwise the last change of each key is merged. Committed batches do nothing when replayed.
+BOUNDARIES = ("up_to_date", "snapshot_end", "subset_end")
+HYDRATION_PASSES = 5
+_WIRE = ("control", "schema", "version")
+
+
+def apply_batch(
+    table: GenerationTable,
+    batch: DataFrame,
+    batch_id: int,
+    segments: int | None = None,
+    hydrate: Callable[[DataFrame], DataFrame] | None = None,
+    fields: dict[str, str] | None = None,
+    at_boundaries: bool = False,
+    more_state: dict | None = None,
+) -> bool:
+    """Applies one batch of changes (key columns, offset, op, values; control if there is one). False if it was committed before.
+
+    fields: changes carry some columns only (column -> the boolean column that tells whether); else they carry whole rows.
+    hydrate: given the keys of rows that are updated but not there, returns whole rows for them; asked HYDRATION_PASSES times at most.
+    A batch with a reset keeps its reset alone, and from then on the table is being replaced. While it is, and always with
+    at_boundaries, changes are staged until a boundary comes: readers see the rows of a finished boundary only.
     """
-    key = table.key[0]
-    state = table.state()
+    if batch_id <= table.manifest()["batch"]:
+        return False
     if "schema" in batch.columns and "version" in batch.columns:
         quarantine.check(batch, segments)
-    if "control" in batch.columns:
-        if not batch.where(F.col("control").isin(*cdc.RESETS)).isEmpty():
-            current = table.read()
-            none = batch.select(*table.key).where("false")
-            return table.merge(current.where("false") if current is not None else _rows(batch).where("false"), none, state | {"replacing": True, "offset": "-1"}, batch_id)
-        batch = batch.where(F.col("control").isNull())
-    last = cdc.latest(batch.select(*[c for c in batch.columns if c not in ("control", "schema", "version")]), key, "offset")
-    top = batch.agg(F.max("offset")).first()[0]
-    state = state | ({"offset": str(top)} if top is not None else {})
-    upserts = last.where("op <> 'delete'")
-    if state.pop("replacing", False):
-        return table.replace(upserts, state, batch_id)
-    return table.merge(upserts, last.where("op = 'delete'").select(*table.key), state, batch_id)
-
-
-def _rows(batch: DataFrame) -> DataFrame:
-    return batch.select(*[c for c in batch.columns if c not in ("control", "schema", "version")])
-
-
-def start(stream: DataFrame, table: GenerationTable, checkpoint: str, available_now: bool = True, segments: int | None = None):
-    """Runs the pipeline; exactly once through the checkpoint's batch numbers and the table's manifest."""
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, n: apply_batch(table, df, n, segments))
+    has_control = "control" in batch.columns
+    control = F.col("control") if has_control else F.lit(None).cast("string")
+    last = lambda c: F.max(F.when(c, F.col("offset")))
+    top, reset, end = batch.agg(last(control.isNull()), last(control.isin(*cdc.RESETS)), last(control.isin(*BOUNDARIES))).first()
+    m = table.manifest()
+    state = m["state"] | (more_state or {})
+    rows = (batch.where(control.isNull()) if has_control else batch).drop(*_WIRE)
+    if reset is not None:
+        current = table.read()
+        return table.commit(batch_id, state | {"replacing": True, "offset": "-1"}, publish=None if current is not None else (_whole(rows, fields).where("false"), None), reset=True)
+    waits = has_control and (at_boundaries or m["replacing"])
+    changed = lambda part, old: _changes(table, part, old, fields, hydrate)
+    old = table.read(staged=True)
+    if not waits:
+        return table.commit(batch_id, state | ({"offset": str(top)} if top is not None else {}), publish=changed(rows, old))
+    if end is None:
+        return table.commit(batch_id, state, stage=changed(rows, old), boundary=False)
+    state.pop("replacing", None)
+    seen, later = rows.where(F.col("offset") <= end), rows.where(F.col("offset") > end)
+    done = changed(seen, old)
+    rest = None
+    if top is not None and top > end:  # what comes after the boundary waits for the next one
+        rest = changed(rows, old) if fields else changed(later, None)
+    shown = top if top is None or top <= end else seen.agg(F.max("offset")).first()[0]
+    return table.commit(batch_id, state | ({"offset": str(shown)} if shown is not None else {}), publish=done, stage=rest)
+
+
+def _whole(rows: DataFrame, fields: dict[str, str] | None) -> DataFrame:
+    return rows.drop("op", *fields.values()) if fields else rows
+
+
+def _changes(table: GenerationTable, rows: DataFrame, old: DataFrame | None, fields: dict[str, str] | None, hydrate: Callable[[DataFrame], DataFrame] | None) -> tuple[DataFrame, DataFrame]:
+    """(upserts, deletes) of ordered changes over the rows there were."""
+    key = table.key[0]
+    if not fields:
+        last = cdc.latest(rows, key, "offset").select(*rows.columns)
+        return last.where("op <> 'delete'"), last.where("op = 'delete'").select(*table.key)
+    touched = rows.select(key).distinct()
+    columns = [key, "offset", *fields]
+    known = None
+    if old is not None:
+        known = old.select(*columns).join(touched, key, "left_semi")
+        start = known.withColumn("offset", F.lit(-1).cast(rows.schema["offset"].dataType)).withColumn("op", F.lit("insert")).withColumns({has: F.lit(True) for has in fields.values()})
+        log = start.unionByName(rows.select(*start.columns))
+    else:
+        log = rows.select(*columns, "op", *fields.values())
+    alive = cdc.partial_rows(log, fields, key).select(*columns)
+    if hydrate is not None:
+        missing = cdc.missing_updates(rows, key, existing=known)
+        for _ in range(HYDRATION_PASSES):
+            if missing.isEmpty():
+                break
+            found = hydrate(missing).select(key, *fields)
+            stamped = found.join(rows.groupBy(key).agg(F.max("offset").alias("offset")), key).select(*columns)
+            alive = alive.join(stamped.select(key), key, "left_anti").select(*columns).unionByName(stamped)
+            missing = missing.join(found.select(key), key, "left_anti")
+    return alive, touched.join(alive.select(key), key, "left_anti")
+
+
+def start(stream: DataFrame, table: GenerationTable, checkpoint: str, available_now: bool = True, segments: int | None = None, at_boundaries: bool = True, **options):
+    """Runs the pipeline; exactly once through the checkpoint's batch numbers and the table's manifest. options: of apply_batch."""
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, n: apply_batch(table, df, n, segments, at_boundaries=at_boundaries, **options))
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def shared_dir(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; where that is unset, one of our own on one machine, and an error on a cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder, and the executors do not share this machine's")
         named = f"file://{tempfile.mkdtemp(prefix='tidelog-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared one, deleted when the JVM ends."""
+    path = f"{shared_dir(spark)}/tidelog-{name}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def replay(spark: SparkSession, changes: DataFrame, files: int = 4) -> DataFrame:
-    """Writes a change log as files in order of offset, streams them, and returns the table's rows."""
-    root = f"{shared_dir(spark)}/tidelog-stream-{uuid.uuid4().hex[:12]}"
+    """Writes a change log as files, streams them in whatever order, and returns the table's rows: the offset decides, deletes stay as rows."""
+    root = new_folder(spark, "stream")
     changes.repartitionByRange(files, "offset").write.parquet(f"{root}/log")
-    table = GenerationTable(spark, f"{root}/table", ["key"], 4)
+    table = GenerationTable(spark, f"{root}/table", ["key"], 4, order="offset")
     stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/log")
-    # files of one log may come in any order: the offset decides, so later rows are kept against earlier ones
-    run = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(lambda df, n: _ordered(table, df, n)).trigger(availableNow=True).start()
-    run.awaitTermination()
+    each = lambda df, n: table.commit(n, table.state(), publish=(cdc.latest(df, "key", "offset").select(*df.columns), None))
+    stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(each).trigger(availableNow=True).start().awaitTermination()
     return table.read().where("op <> 'delete'")
 
 
-def _ordered(table: GenerationTable, batch: DataFrame, batch_id: int) -> bool:
-    """Last writer wins by offset, whatever the order of batches: deletes stay as rows until nothing older can come."""
-    last = cdc.latest(batch, table.key[0], "offset").select(*batch.columns)
-    old = table.read()
-    if old is not None:
-        keys = last.select(*table.key)
-        last = cdc.latest(old.join(keys, table.key, "left_semi").unionByName(last.select(*old.columns)), table.key[0], "offset").select(*old.columns)
-    return table.merge(last, last.select(*table.key).where("false"), table.state(), batch_id)
+def replay_in_order(spark: SparkSession, changes: DataFrame, part: str, parts: int, key: str = "key", **options) -> DataFrame:
+    """Writes the parts of a change log (numbers in a column) one after the other, streams them through start(), and returns the table's rows."""
+    root = new_folder(spark, "stream")
+    for i in range(parts):
+        changes.where(F.col(part) == i).drop(part).coalesce(1).write.mode("append").parquet(f"{root}/log")
+    table = GenerationTable(spark, f"{root}/table", [key], 4)
+    stream = spark.readStream.schema(changes.drop(part).schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/log")
+    start(stream, table, f"{root}/checkpoint", **options).awaitTermination()
+    return table.read()
