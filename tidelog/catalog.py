@@ -466,3 +466,148 @@ def changes_by_day(spark, t):
     return rows.groupBy("w", "op").agg(F.count("*").alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("day"), "op", "n")
 
 
+
+PARTIAL = ORACLES["cdc_partial_merge"]
+
+
+@query(PARTIAL)
+def stream_partial_equals_batch(spark, t):
+    """Partial updates through the stream, part by part over what is stored: the same rows as the fold over the whole log."""
+    from tidelog.streaming.pipeline import replay_in_order
+
+    rows = log(t).select("key", "offset", "op", "has_v", "has_k", "v", "k", sixth(t).alias("part"))
+    return replay_in_order(spark, rows, "part", 6, fields={"v": "has_v", "k": "has_k"}, at_boundaries=False)
+
+
+def sixth(t):
+    """The sixth of the log that an offset lies in."""
+    low, high = t("events").agg(F.min("event_id"), F.max("event_id")).first()
+    return F.floor((F.col("offset") - low) * 6 / (high - low + 1)).cast("int")
+
+
+SIXTHS = """(SELECT l.*, (("offset" - (SELECT min(event_id) FROM events)) * 6 // (SELECT max(event_id) - min(event_id) + 1 FROM events))::INT AS part FROM """ + CL + """ l)"""
+
+
+@query(f"""WITH f AS (SELECT * FROM {SIXTHS}), a AS (SELECT * FROM f WHERE part > 2), e AS (SELECT max("offset") AS shown FROM a WHERE "offset" % 200 = 199 AND part < 5),
+n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) AS r FROM a, e WHERE "offset" <= shown AND "offset" % 200 <> 199)
+SELECT key, "offset", op, v, k FROM n WHERE r = 1 AND op <> 'delete'""")
+def stream_reset_swap(spark, t):
+    """A reset in the third sixth of the log replaces all rows, at the first boundary after it; the last sixth has no boundary and waits."""
+    from tidelog.streaming.pipeline import replay_in_order
+
+    part, at = sixth(t), F.col("offset")
+    rows = log(t).withColumn("part", part)
+    control = F.when((at % 200 == 199) & (F.col("part") < 5), "up_to_date").when((at % 200 == 199) & (F.col("part") == 5), "note").when((F.col("part") == 2) & (at % 50 == 7), "must_refetch")
+    return replay_in_order(spark, rows.select("key", "offset", "op", "v", "k", control.alias("control"), "part"), "part", 6)
+
+
+# --- metadata
+
+
+def metadata(spark):
+    from tidelog.streaming.metadata import Metadata
+    from tidelog.streaming.pipeline import new_folder
+
+    return Metadata(spark, new_folder(spark, "metadata"))
+
+
+@query(f"""SELECT batch_id::VARCHAR AS collection, max("offset")::VARCHAR AS "offset", arg_max('h' || ("offset" // 9), "offset") AS handle, arg_max('c' || txid, "offset") AS cursor, arg_max(coalesce(control = 'up_to_date', FALSE), "offset") AS is_up_to_date
+  FROM {CL} GROUP BY batch_id HAVING batch_id % 5 <> 0""")
+def sync_state_upsert(spark, t):
+    """The resume state of every batch of the log, written twice and read back; of every fifth it is reset."""
+    m = metadata(spark)
+    rows = log(t).select(F.col("batch_id").cast("string").alias("collection"), "offset", F.concat(F.lit("h"), F.expr("offset div 9")).alias("handle"), F.concat(F.lit("c"), F.col("txid")).alias("cursor"), F.coalesce(F.col("control") == "up_to_date", F.lit(False)).alias("is_up_to_date"))
+    m.update_sync_states(rows.where("offset % 3 = 0"))
+    m.update_sync_states(rows)
+    m._change(lambda f: [f["states"].pop(x) for x in list(f["states"]) if int(x) % 5 == 0])
+    return m.sync_states()
+
+
+@query("""SELECT o_orderpriority AS priority, max(o_totalprice) > 300000 AS fetched, max(o_totalprice) > 300000 AND o_orderpriority <> '5-LOW' AS after_clear FROM orders GROUP BY 1""")
+def coverage_lookup(spark, t):
+    """Whether each priority was fetched (those with an order over 300000 were), before and after the coverage of one base is cleared."""
+    m = metadata(spark)
+    dear = {r[0] for r in where(t("orders"), Compare(PRICE, ">", 300_000)).select("o_orderpriority").distinct().collect()}  # five values
+    every = sorted(r[0] for r in t("orders").select("o_orderpriority").distinct().collect())
+    p = lambda x: Compare("o_orderpriority", "=", x)
+    for x in every:
+        m.record_fetch("orders", p(x), complete=x in dear, base="low" if x == "5-LOW" else "all")
+    before = {x: m.has_fetched("orders", predicate_key(p(x))) for x in every}
+    m.clear("orders", "low")
+    return spark.createDataFrame([(x, before[x], m.has_fetched("orders", predicate_key(p(x)))) for x in every], "priority string, fetched boolean, after_clear boolean")
+
+
+def owners(t) -> DataFrame:
+    """Orders as rows that up to three shapes own: dear ones, open ones and urgent ones."""
+    o = t("orders")
+    own = lambda p, shape: where(o, p).select(F.lit("orders").alias("table"), F.col("o_orderkey").cast("string").alias("row_key"), F.lit(shape).alias("shape_id"), F.array(F.lit(shape)).alias("tags"))
+    return own(Compare(PRICE, ">", 150_000), "dear").unionByName(own(Compare("o_orderstatus", "=", "O"), "open")).unionByName(own(Compare("o_orderpriority", "=", "1-URGENT"), "urgent"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS row_key FROM orders WHERE o_totalprice > 150000 AND o_orderstatus <> 'O' AND o_orderpriority <> '1-URGENT'")
+def ownership_release_all(spark, t):
+    m = metadata(spark)
+    m.claim(owners(t), 0)
+    return m.release_all("orders", "dear")
+
+
+@query("""SELECT shape_id, count(*)::BIGINT AS n FROM (SELECT o_orderkey, unnest(list_filter([CASE WHEN o_totalprice > 150000 THEN 'dear' END, CASE WHEN o_orderstatus = 'O' THEN 'open' END, CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' END], lambda x: x IS NOT NULL)) AS shape_id
+  FROM orders WHERE o_orderkey % 3 <> 0) GROUP BY 1""")
+def ownership_remove_all(spark, t):
+    """Every third order is deleted, for all its owners."""
+    m = metadata(spark)
+    m.claim(owners(t), 0)
+    m.remove_rows("orders", t("orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").cast("string").alias("row_key")))
+    return m.owned().groupBy("shape_id").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS row_key, CASE WHEN o_orderstatus = 'O' AND o_orderkey % 2 = 0 THEN 'new' ELSE 'dear' END AS tag FROM orders
+  WHERE o_totalprice > 150000 AND (o_orderstatus = 'O' OR o_orderpriority = '1-URGENT') OR o_orderstatus = 'O' AND o_orderkey % 2 = 0""")
+def ownership_update(spark, t):
+    """A shape's ownership brought to another set of rows: some are claimed, some retagged, some released."""
+    m = metadata(spark)
+    m.claim(owners(t), 0)
+    fresh = where(t("orders"), (Compare(PRICE, ">", 150_000) & (Compare("o_orderstatus", "=", "O") | Compare("o_orderpriority", "=", "1-URGENT"))) | Compare("o_orderstatus", "=", "O"))
+    tag = F.when((F.col("o_orderstatus") == "O") & (F.col("o_orderkey") % 2 == 0), "new").otherwise("dear")
+    fresh = fresh.where((F.col(PRICE) > 150_000) | (F.col("o_orderkey") % 2 == 0)).select(F.col("o_orderkey").cast("string").alias("row_key"), F.array(tag).alias("tags"))
+    m.update_ownership("orders", "dear", fresh)
+    return m.ownership_tags("orders", "dear").select("row_key", F.col("tags")[0].alias("tag"))
+
+
+# --- the general fold of membership
+
+
+def folded(t, spark, legacy):
+    """Orders tagged status/priority in two steps, with one move-out between them and one after, and a delete of every seventh."""
+    o = t("orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("s"), F.col("o_orderpriority").alias("p"))
+    empty = F.array().cast("array<string>")
+    step = lambda df, seq, op, tags, removed: df.select(F.lit(seq).cast("long").alias("seq"), "key", F.lit(op).alias("op"), tags.alias("tags"), removed.alias("removed_tags"), F.array().cast("array<boolean>").alias("active_conditions"))
+    one = F.concat_ws("/", "s", F.when(F.col("key") % 4 == 0, "_").otherwise(F.col("p")))
+    two = F.concat_ws("/", F.lit("x"), (F.col("key") % 10).cast("string"))
+    rows = step(o, 1, "insert", F.array(one, F.lit("a/b/c")), empty).unionByName(step(o.where("key % 2 = 0"), 3, "update", F.array(two), F.when(F.col("key") % 6 == 0, F.array(one)).otherwise(empty))).unionByName(step(o.where("key % 7 = 0"), 4, "delete", empty, empty))
+    events = spark.createDataFrame([(2, "move_out", 1, "1-URGENT"), (5, "move_out", 1, "4")], "seq long, kind string, pos int, value string")
+    state = spark.createDataFrame([], f"key bigint, {membership.STATE}")
+    out = membership.fold(state, rows, events, "key", [[0, 1]], legacy, 2)
+    return out.select("key", F.array_join(F.array_sort("tags"), ",").alias("tags"), "evicted_at")
+
+
+def folded_sql(legacy):
+    wild = "OR one_end = '_'" if legacy else ""
+    late = "OR one_end = '_'" if legacy else ""
+    return f"""
+WITH o AS (SELECT o_orderkey AS key, o_orderstatus || '/' || CASE WHEN o_orderkey % 4 = 0 THEN '_' ELSE o_orderpriority END AS one, CASE WHEN o_orderkey % 4 = 0 THEN '_' ELSE o_orderpriority END AS one_end, 'x/' || (o_orderkey % 10) AS two FROM orders),
+a AS (SELECT *, NOT (one_end = '1-URGENT' {wild}) AS has1 FROM o),
+b AS (SELECT *, has1 AND NOT (key % 6 = 0) AS has1b, key % 2 = 0 AS has2 FROM a),
+c AS (SELECT *, has1b AND NOT (one_end = '4' {late}) AS has1c, has2 AND key % 10 <> 4 AS has2c FROM b)
+SELECT key, CASE WHEN key % 7 = 0 THEN '' ELSE array_to_string(list_sort(list_filter([CASE WHEN has1c THEN one END, CASE WHEN has2c THEN two END], lambda x: x IS NOT NULL)), ',') END AS tags,
+  (CASE WHEN key % 7 = 0 THEN NULL WHEN NOT has1 AND NOT has2 THEN 2 WHEN (has1b OR has2) AND NOT has1c AND NOT has2c THEN 5 END)::BIGINT AS evicted_at FROM c"""
+
+
+@query(folded_sql(False))
+def membership_fold(spark, t):
+    return folded(t, spark, False)
+
+
+@query(folded_sql(True))
+def membership_fold_legacy(spark, t):
+    return folded(t, spark, True)

@@ -15,10 +15,10 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from tidelog.functions.predicates import Predicate, PredicateError
-from tidelog.operators import cdc
 from tidelog.plans.coverage import Plan, Query, compute_missing, demand_order, is_bounded, key, records_coverage, scope
 from tidelog.plans.subset import answer, subset, where
 from tidelog.sources.changelog import starting_options
+from tidelog.streaming import pipeline
 from tidelog.streaming.metadata import Metadata
 from tidelog.streaming.store import GenerationTable
 
@@ -88,7 +88,7 @@ class Collection:
             x(event)
 
     def _apply(self, rows: DataFrame) -> None:
-        self.batch += 1
+        self.batch = self.table.manifest()["batch"] + 1
         self.table.merge(rows, rows.where("false"), self.table.state(), self.batch)
 
     def query(self, p: Predicate | None = None, order_by: tuple | None = None, limit: int | None = None, cursor: Any = None) -> DataFrame:
@@ -143,26 +143,33 @@ class Collection:
                 part = subset(where(self.remote, self.base), q, key=tuple(self.table.key))
                 rows = part if rows is None else rows.unionByName(part)
             rows = self.remote.where("false") if rows is None else rows.dropDuplicates(self.table.key)
-            self.batch += 1
+            self.batch = self.table.manifest()["batch"] + 1
             self.metadata.clear(self.name)
             self.table.replace(rows, {}, self.batch)
 
-    def apply_changes(self, changes: DataFrame) -> None:
-        """One batch of the log: the last change of each key, rows and resume state together."""
+    def apply_changes(self, changes: DataFrame, stream: str | None = None, number: int = -1) -> bool:
+        """One batch of the log: the last change of each key, rows and resume state together, under the rules of pipeline.apply_batch.
+
+        stream, number: a stream's checkpoint and its batch; a batch that was applied before is not applied again.
+        """
         with self.lock:
-            last = cdc.latest(changes, self.table.key[0], "offset")
-            values = [c for c in last.columns if c not in ("op", "offset")]
-            self.batch += 1
-            top = changes.agg({"offset": "max"}).first()[0]
-            state = self.table.state() | ({"offset": str(top)} if top is not None else {})
-            self.table.merge(last.where("op <> 'delete'").select(*values), last.where("op = 'delete'").select(*self.table.key), state, self.batch)
+            done = self.table.state().get("streams", {})
+            if stream is not None and number <= done.get(stream, -1):
+                return False
+            self.batch = self.table.manifest()["batch"] + 1
+            values = [c for c in changes.columns if c in {*self.local().columns, "op", "offset", "control", "schema", "version"}]
+            more = {"streams": done | {stream: number}} if stream is not None else {}
+            pipeline.apply_batch(self.table, changes.select(*values), self.batch, more_state=more, keep=tuple(self.local().columns))
+            if self.table.manifest()["replacing"]:
+                self.metadata.clear(self.name)  # what was covered is fetched again
+            return True
 
     def keep_synced(self, stream: DataFrame, checkpoint: str, available_now: bool = False):
         """Follows the log; one tick per applied batch goes to the listeners. Returns the StreamingQuery."""
 
         def each(df: DataFrame, n: int) -> None:
-            self.apply_changes(df)
-            self._tell("tick")
+            if self.apply_changes(df, checkpoint, n):
+                self._tell("tick")
 
         writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
         return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -125,32 +125,41 @@ STATE = "tags array<string>, active array<boolean>, evicted_at bigint"
 _STEP = "struct<seq:bigint,what:string,tags:array<string>,removed:array<string>,active:array<boolean>,pos:int,value:string>"
 
 
-def fold(state: DataFrame, changes: DataFrame, events: DataFrame, key: str, positions: list[list[int]]) -> DataFrame:
+def fold(state: DataFrame, changes: DataFrame, events: DataFrame, key: str, positions: list[list[int]], legacy: bool = False, length: int | None = None) -> DataFrame:
     """One batch of tagged changes and move events, in order of seq, over the membership of rows.
 
     state: key and STATE columns. changes: seq, key, op, tags, removed_tags, active_conditions. events: seq, kind, pos, value.
     Rules: a delete clears; a change without tags and removals does nothing; removals come before additions; conditions
-    that come with tags replace the old ones. A move-out takes matching tags from rows without conditions and evicts a row
+    that come with tags replace the old ones. length: added tags with another number of segments are ignored. legacy: a
+    segment `_` matches every value at its position, and empty segments are ordinary. A move-out takes matching tags from rows without conditions and evicts a row
     whose last tag goes; in rows with conditions it makes the position inactive and evicts those with no disjunct left. A
     move-in makes it active again, silently, and never brings back an evicted row; only new tags do.
 
     Events reach a row through an equality join with every segment that the row has or gets in the batch; the fold checks
     the tags that it has at that moment. A row's own steps are gathered, never a group of rows.
     """
+    if length is not None:
+        changes = changes.withColumn("tags", F.filter("tags", lambda t: F.size(segments(t)) == length))
     seen = state.select(key, F.explode("tags").alias("tag")).unionByName(changes.select(key, F.explode("tags").alias("tag")))
-    index = seen.select(key, F.posexplode(segments(F.col("tag"))).alias("pos", "value")).where("value <> ''").distinct()
+    index = seen.select(key, F.posexplode(segments(F.col("tag"))).alias("pos", "value")).distinct()
+    index = index if legacy else index.where("value <> ''")
     none = lambda t: F.lit(None).cast(t)
     step = lambda **c: F.struct(*(c[n].alias(n) for n in ("seq", "what", "tags", "removed", "active", "pos", "value"))).cast(_STEP)
     empty = F.array().cast("array<string>")
     own = changes.select(
         key, step(seq=F.col("seq"), what=F.when(F.col("op") == "delete", "delete").otherwise("change"), tags=F.coalesce("tags", empty), removed=F.coalesce("removed_tags", empty), active=F.coalesce("active_conditions", F.array().cast("array<boolean>")), pos=none("int"), value=none("string")).alias("x")
     )
-    moves = index.join(events, ["pos", "value"]).select(key, step(seq=F.col("seq"), what=F.col("kind"), tags=empty, removed=empty, active=none("array<boolean>"), pos=F.col("pos"), value=F.col("value")).alias("x"))
+    reached = index.join(events, ["pos", "value"])
+    if legacy:  # a wildcard is reached by position alone
+        wild = index.where("value = '_'").select(key, "pos").join(events.where("value <> '_'"), "pos")
+        reached = reached.unionByName(wild.select(*reached.columns)).distinct()
+    moves = reached.select(key, step(seq=F.col("seq"), what=F.col("kind"), tags=empty, removed=empty, active=none("array<boolean>"), pos=F.col("pos"), value=F.col("value")).alias("x"))
     steps = own.unionByName(moves).groupBy(key).agg(F.array_sort(F.collect_list("x")).alias("steps"))
     shape = F.array(*(F.array(*map(F.lit, d)) if d else F.array().cast("array<int>") for d in positions)) if positions else F.array().cast("array<array<int>>")
 
     def apply(s: Column, m: Column) -> Column:
-        matches = lambda t: F.get(segments(t), m["pos"]) == m["value"]
+        at = lambda t: F.get(segments(t), m["pos"])
+        matches = lambda t: (at(t) == m["value"]) | (at(t) == "_") if legacy else at(t) == m["value"]
         hit = F.exists(s["tags"], lambda t: F.coalesce(matches(t), F.lit(False)))
         made = lambda tags, active, evicted: F.struct(tags.alias("tags"), active.cast("array<boolean>").alias("active"), evicted.cast("bigint").alias("evicted_at"))
         nothing = F.array().cast("array<boolean>")

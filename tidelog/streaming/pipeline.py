@@ -27,6 +27,7 @@ def apply_batch(
     fields: dict[str, str] | None = None,
     at_boundaries: bool = False,
     more_state: dict | None = None,
+    keep: tuple[str, ...] | None = None,
 ) -> bool:
     """Applies one batch of changes (key columns, offset, op, values; control if there is one). False if it was committed before.
 
@@ -34,6 +35,7 @@ def apply_batch(
     hydrate: given the keys of rows that are updated but not there, returns whole rows for them; asked HYDRATION_PASSES times at most.
     A batch with a reset keeps its reset alone, and from then on the table is being replaced. While it is, and always with
     at_boundaries, changes are staged until a boundary comes: readers see the rows of a finished boundary only.
+    keep: the table's columns, where it has not all of the changes'.
     """
     if batch_id <= table.manifest()["batch"]:
         return False
@@ -50,7 +52,8 @@ def apply_batch(
         current = table.read()
         return table.commit(batch_id, state | {"replacing": True, "offset": "-1"}, publish=None if current is not None else (_whole(rows, fields).where("false"), None), reset=True)
     waits = has_control and (at_boundaries or m["replacing"])
-    changed = lambda part, old: _changes(table, part, old, fields, hydrate)
+    only = lambda sides: tuple(x.select(*keep) if keep and set(keep) <= set(x.columns) else x for x in sides)
+    changed = lambda part, old: only(_changes(table, part, old, fields, hydrate))
     old = table.read(staged=True)
     if not waits:
         return table.commit(batch_id, state | ({"offset": str(top)} if top is not None else {}), publish=changed(rows, old))
