@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 BATCH_BYTES = 8 << 20
+SAVES = 4  # so many tables after which what the driver holds of done plans is let go
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,12 +52,16 @@ class Scratch:
         bounded_batches(spark)
         self.spark = spark
         self.paths: dict[int, str] = {}
+        self.saves = 0
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, name)
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = path
+        self.saves += 1
+        if self.saves % SAVES == 0:
+            self.release()
         return out
 
     def drop(self, *tables: DataFrame) -> None:
