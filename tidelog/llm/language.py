@@ -278,7 +278,7 @@ def _words_in(packed: bytes) -> list[str]:
 def _asked(words: list[str]) -> np.ndarray:
     """Hashes of the words and of all their n-grams, distinct and ascending."""
     listed = WordList(words)
-    return np.unique(np.concatenate([word_hashes(words), *(listed.grams(n)[1] for n in range(1, LONGEST + 1))]))
+    return np.unique(np.concatenate([word_hashes(words), *(np.unique(listed.grams(n)[1]) for n in range(1, LONGEST + 1))]))  # one length in memory at a time
 
 
 def _send(bits: int):
