@@ -27,3 +27,12 @@ def test_tables_score_as_the_model(spark, monkeypatch):
     assert got == want and len(got) == len(rows) + len(asked) + 2
     none = language.identified(docs, language.Counts(docs.where("false"), scratch), scratch)
     assert none.where("lang_pred = 'und'").count() == len(got)
+
+
+def test_chunks_without_words_or_without_unseen_words(spark):
+    schema = "doc_id long, held_out boolean, text string, lang string"
+    scratch = Scratch(spark)
+    counts = language.Counts(spark.createDataFrame([(1, False, "der hund", "de"), (2, False, "the dog", "en")], schema), scratch)
+    for text, want in (("12 !?", "und"), (None, "und"), ("the dog", "en"), ("hunde", "de")):
+        got = language.identified(spark.createDataFrame([(3, True, text, None)], schema), counts, scratch).collect()
+        assert [r.lang_pred for r in got] == [want]

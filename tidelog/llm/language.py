@@ -7,9 +7,9 @@ sum wins; the score is its posterior when the mean score of a word is sharpened
 
 Training counts every word of all training rows in Spark, and the n-grams of every counted word. All of them are
 known; the model stays a pair of tables. Documents are cut into chunks of about CHUNK characters. A chunk asks for its
-distinct words and all their n-grams by 64-bit hash, packed by ranges of hashes; each range of the model answers with the
-counts of those it knows, and the chunk, which now holds all of the model that it needs, scores its documents. Only what is
-distinct in a chunk is shuffled. The number of ranges follows the number of chunks, and a range that a chunk asks
+distinct words by 64-bit hash, packed by ranges of hashes, and then for the n-grams of the words that are unseen; each range
+of the model answers with the counts of those it knows, and the chunk, which now holds all of the model that it needs,
+scores its documents. Only what is distinct in a chunk is shuffled. The number of ranges follows the number of chunks, and a range that a chunk asks
 nothing of costs nothing. train() collects the model for use in one process, where it fits.
 
 Defined cases. Null text, or a text with no letter: `und`, score 0. No training rows: `und`, score 0. One
@@ -275,23 +275,55 @@ def _words_in(packed: bytes) -> list[str]:
     return text.split("\n") if text else []
 
 
-def _asked(words: list[str]) -> np.ndarray:
-    """Hashes of the words and of all their n-grams, distinct and ascending."""
+def _distinct_grams(words: list[str]) -> np.ndarray:
+    """Hashes of all n-grams of the words, distinct and ascending."""
+    if not words:
+        return np.zeros(0, np.uint64)
     listed = WordList(words)
-    return np.unique(np.concatenate([word_hashes(words), *(np.unique(listed.grams(n)[1]) for n in range(1, LONGEST + 1))]))  # one length in memory at a time
+    return np.unique(np.concatenate([np.unique(listed.grams(n)[1]) for n in range(1, LONGEST + 1)]))  # one length in memory at a time
+
+
+ASKED = "part int, chunk long, hashes binary"
+
+
+def _by_range(chunk: int, asked: np.ndarray, bits: int) -> list[pa.Array]:
+    """Columns of ASKED: what a chunk asks of each range of hashes."""
+    parts, starts, ends = substrings.ranges_of(asked, 64 - bits)
+    packed = [substrings.deltas(asked[a:b]) for a, b in zip(starts, ends, strict=True)]
+    return [pa.array(parts, pa.int32()), pa.array(np.full(len(parts), chunk, np.int64)), pa.array(packed, pa.binary())]
 
 
 def _send(bits: int):
-    """What each chunk asks of each range of hashes."""
+    """The distinct words of each chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, packed in zip(batch.column("chunk").to_pylist(), batch.column("words").to_pylist(), strict=True):
-                asked = _asked(_words_in(packed))
-                parts, starts, ends = substrings.ranges_of(asked, 64 - bits)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(parts, pa.int32()), pa.array(np.full(len(parts), chunk, np.int64)), pa.array([substrings.deltas(asked[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary())], ["part", "chunk", "hashes"]
-                )
+                yield pa.RecordBatch.from_arrays(_by_range(chunk, np.unique(word_hashes(_words_in(packed))), bits), ["part", "chunk", "hashes"])
+
+    return run
+
+
+def _told(asked: np.ndarray, told: pa.Table, bits: int) -> np.ndarray:
+    """Which of the hashes are known."""
+    parts, starts, ends = substrings.ranges_of(asked, 64 - bits)
+    where = {p: (a, b) for p, a, b in zip(parts.tolist(), starts.tolist(), ends.tolist(), strict=True)}
+    hit = np.zeros(len(asked), bool)
+    for part, known in zip(told["part"].to_pylist(), told["known"].to_pylist(), strict=True):
+        a, b = where[part]
+        hit[a:b] = np.unpackbits(np.frombuffer(known, np.uint8), count=b - a).astype(bool)
+    return hit
+
+
+def _send_grams(bits: int):
+    """The distinct n-grams of those words of a chunk that are unseen."""
+
+    def run(chunk: pa.Table, told: pa.Table) -> pa.Table:
+        words = _words_in(chunk["words"][0].as_py())
+        asked = np.unique(word_hashes(words))
+        hit = _told(asked, told, bits)[np.searchsorted(asked, word_hashes(words))] if words else np.zeros(0, bool)
+        unseen = [words[i] for i in np.flatnonzero(~hit)]
+        return pa.table(_by_range(chunk["chunk"][0].as_py(), _distinct_grams(unseen), bits), ["part", "chunk", "hashes"])
 
     return run
 
@@ -335,9 +367,7 @@ def identified(docs: DataFrame, counts: Counts, scratch: Scratch) -> DataFrame:
     langs, width = counts.langs, len(counts.langs)
     chunks = scratch.save(docs.select("doc_id", "held_out", "text").mapInArrow(_chunks, CHUNKS), "chunks")
     bits = max(3, (chunks.count() - 1).bit_length())
-    model = counts.words.select("word", "by").mapInArrow(_known(True, langs, bits), "part int, hashes binary, counts binary")
-    model = model.unionByName(counts.grams.select("h", "by").mapInArrow(_known(False, langs, bits), "part int, hashes binary, counts binary"))
-    packs = chunks.select("chunk", "words").mapInArrow(_send(bits), "part int, chunk long, hashes binary")
+    packs = "part int, hashes binary, counts binary"
     floors = [counts.floor(n) for n in range(LONGEST + 1)]
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
@@ -355,25 +385,39 @@ def identified(docs: DataFrame, counts: Counts, scratch: Scratch) -> DataFrame:
             values.append(zstandard.compress(counted[order[at[hit]]].T.tobytes() if len(h) else b"", 3))
         return pa.table([asked["chunk"], asked["part"], pa.array(bits_of, pa.binary()), pa.array(values, pa.binary())], ["chunk", "part", "known", "counts"])
 
-    answers = packs.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(answer, "chunk long, part int, known binary, counts binary")
+    def look_up(asked: DataFrame, model: DataFrame) -> DataFrame:
+        return asked.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(answer, "chunk long, part int, known binary, counts binary")
+
+    of_words = look_up(chunks.select("chunk", "words").mapInArrow(_send(bits), ASKED), counts.words.select("word", "by").mapInArrow(_known(True, langs, bits), packs))
+    of_words = scratch.save(of_words, "known-words")
+    left = chunks.select("chunk", "words").groupBy("chunk").cogroup(of_words.select("chunk", "part", "known").groupBy("chunk")).applyInArrow(_send_grams(bits), ASKED)
+    of_grams = look_up(left, counts.grams.select("h", "by").mapInArrow(_known(False, langs, bits), packs))
+    answers = of_words.withColumn("words", F.lit(True)).unionByName(of_grams.withColumn("words", F.lit(False)))
+
+    def values_of(asked: np.ndarray, told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are known, and log(count + 1/2) of those, in their order."""
+        hit = _told(asked, told, bits)
+        values, un, order = [np.zeros((0, width), np.float32)], zstandard.ZstdDecompressor(), np.argsort(told["part"].to_numpy())
+        for i in order.tolist():
+            values.append(np.log(np.frombuffer(un.decompress(told["counts"][i].as_py()), np.int64).reshape(width, -1).T + 0.5).astype(np.float32))
+        return hit, np.concatenate(values)
 
     def run(chunk: pa.Table, told: pa.Table) -> pa.Table:
         un = zstandard.ZstdDecompressor()
         sizes, rows = (np.frombuffer(un.decompress(chunk[c][0].as_py()), kind) for c, kind in (("sizes", np.int64), ("rows", np.int32)))
         words = _words_in(chunk["words"][0].as_py())
-        asked = _asked(words)
-        parts, starts, ends = substrings.ranges_of(asked, 64 - bits)
-        where = {p: (a, b) for p, a, b in zip(parts.tolist(), starts.tolist(), ends.tolist(), strict=True)}
-        hit, v = np.zeros(len(asked), bool), np.zeros((len(asked), width), np.float32)
-        for part, known, values in zip(told["part"].to_pylist(), told["known"].to_pylist(), told["counts"].to_pylist(), strict=True):
-            a, b = where[part]
-            hit[a:b] = np.unpackbits(np.frombuffer(known, np.uint8), count=b - a).astype(bool)
-            v[a:b][hit[a:b]] = np.log(np.frombuffer(un.decompress(values), np.int64).reshape(width, -1).T + 0.5)
-        own = np.searchsorted(asked, word_hashes(words))
-        table = np.where(hit[own][:, None], v[own] - floors[0], 0).astype(np.float32)
-        unseen = np.flatnonzero(~hit[own]) if len(words) else np.zeros(0, np.int64)
-        grams = _Grams(asked[hit], v[hit], floors)
-        table[unseen] = Model(langs, {}, grams).back_off([words[i] for i in unseen])
+        hashes = word_hashes(words)
+        asked = np.unique(hashes)
+        hit, logs = values_of(asked, told.filter(told["words"]))
+        at = np.searchsorted(asked, hashes)
+        seen = np.flatnonzero(hit[at]) if words else np.zeros(0, np.int64)
+        unseen = np.flatnonzero(~hit[at]) if words else seen
+        table = np.zeros((len(words), width), np.float32)
+        table[seen] = logs[(np.cumsum(hit) - 1)[at[seen]]] - floors[0]
+        left = [words[i] for i in unseen]
+        asked = _distinct_grams(left)
+        hit, logs = values_of(asked, told.filter(pc.invert(told["words"])))
+        table[unseen] = Model(langs, {}, _Grams(asked[hit], logs, floors)).back_off(left)
         names, best = _decided(langs, table, rows, sizes)
         return pa.table([pa.array(chunk["ids"][0].as_py(), pa.int64()), pa.array(chunk["held"][0].as_py(), pa.bool_()), pa.array(names, pa.string()), pa.array(best, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
