@@ -6,6 +6,7 @@ batch size. Hashes are polynomials modulo 2^64 over a fixed random byte table, f
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,5 +127,13 @@ def whole(doc: np.ndarray, k: int) -> np.ndarray:
     return doc[k - 1 :] == doc[: len(doc) - k + 1] if len(doc) >= k else np.zeros(0, bool)
 
 
+def give_back() -> None:
+    """Hands memory that this process has freed back to the system, so that a worker between tasks holds little."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library; others need no such call
+    if trim is not None:
+        trim(0)
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)

@@ -98,7 +98,7 @@ def points(docs: DataFrame, k: int, percent: int) -> DataFrame:
     chunks, bits = max(8, -(-size // substrings.CHUNK_BYTES)), substrings.range_bits(size // 6)
     cut = np.uint64(64 - min(64, max(32, int(size // 6).bit_length() + 8)))  # shortened: hardly any two shingles meet
 
-    def send(key: tuple, table: pa.Table) -> pa.Table:
+    def sent(key: tuple, table: pa.Table) -> pa.Table:
         _, n, h = _chunk_sets(table, k)
         _, first = np.unique(_nodes(h, n), return_index=True)
         once = np.zeros(len(n), bool)
@@ -115,6 +115,11 @@ def points(docs: DataFrame, k: int, percent: int) -> DataFrame:
             }
         )
 
+    def send(key: tuple, table: pa.Table) -> pa.Table:
+        out = sent(key, table)
+        arrays.give_back()
+        return out
+
     def add(key: tuple, table: pa.Table) -> pa.Table:
         lists = [substrings.undeltas(x) for x in table["hashes"].to_pylist()]
         times = np.concatenate([np.frombuffer(zstandard.decompress(x), np.uint16) for x in table["many"].to_pylist()])
@@ -124,7 +129,7 @@ def points(docs: DataFrame, k: int, percent: int) -> DataFrame:
         levels = [zstandard.compress(x.tobytes(), 1) for x in np.split(total, ends[:-1])]
         return pa.table({"chunk": table["chunk"], "part": pa.array([key[0].as_py()] * len(lists), pa.int32()), "bits": pa.array(levels, pa.binary())})
 
-    def place(_: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
+    def placed(table: pa.Table, told: pa.Table) -> pa.Table:
         schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("near", pa.list_(pa.int64()))])
         if not len(table):
             return schema.empty_table()
@@ -143,6 +148,11 @@ def points(docs: DataFrame, k: int, percent: int) -> DataFrame:
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(window)]), pa.int32()), pa.array(arrays.signed(near), pa.int64()))
         return pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(arrays.signed(_nodes(h, n))), pa.array(n, pa.int32()), lists], schema=schema)
 
+    def place(_: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
+        out = placed(table, told)
+        arrays.give_back()
+        return out
+
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
     packed = dealt.mapInArrow(substrings.pack, substrings.PACKED)
     told = packed.groupBy("chunk").applyInArrow(send, PACKS).groupBy("part").applyInArrow(add, substrings.BITS)

@@ -268,6 +268,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
                 ids = [None if t is None else fst.encode(t) for t in texts]
                 same = [t is None or fst.decode(i) == t for t, i in zip(texts, ids, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), _ids_array(ids), pa.array(same, pa.bool_())], ["doc_id", "ids", "round_trip"])
+        batch = part = texts = ids = same = None
+        arrays.give_back()
 
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -226,6 +226,8 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             kinds = [pa.int64()] * 5 + [pa.float64()]
             q = pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(got.values(), kinds, strict=True)], list(got))
             yield pa.RecordBatch.from_arrays([*batch.columns, q], [*(f"c{i}" for i in range(width)), "_q"])
+        got = q = batch = None
+        arrays.give_back()
 
     plain = docs.toDF(*(f"c{i}" for i in range(width)))
     return plain.mapInArrow(run, schema).toDF(*docs.columns, "_q")
