@@ -10,8 +10,11 @@ import gc
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelog.llm import arrays
+
 BATCH_BYTES = 8 << 20
 SAVES = 4  # so many tables after which what the driver holds of done plans is let go
 
@@ -45,6 +48,22 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, f"{BATCH_BYTES}b")
 
 
+def give_back(spark: SparkSession) -> None:
+    """Hands memory that the driver has freed, in Python and outside the JVM's heap, back to the system.
+
+    The threads that plan and compile free into many arenas of the C library, which keep it otherwise.
+    """
+    arrays.give_back()
+    jvm = spark._jvm
+    try:
+        call = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServerConnection").getMethods() if m.getName() == "invoke")
+        args = spark.sparkContext._gateway.new_array(jvm.Object, 4)
+        args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        call.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JError:
+        pass  # a JVM without this command
+
+
 class Scratch:
     """Writes tables of one job and drops those that are done with."""
 
@@ -62,6 +81,8 @@ class Scratch:
         self.saves += 1
         if self.saves % SAVES == 0:
             self.release()
+        else:
+            give_back(self.spark)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
@@ -74,3 +95,4 @@ class Scratch:
         """Lets the shuffle files of plans that are done with go now, not when the driver next collects its garbage."""
         gc.collect()
         self.spark._jvm.System.gc()
+        give_back(self.spark)
