@@ -135,3 +135,30 @@ def test_neighbours_against_a_sorted_list(spark):
         got = {r.page_id: (r.partner, r.witness) for r in html.partners(scratch.save(html.extracted(df), "t"), scratch).collect()}
         assert got == want, n
     spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_differencing_takes_marked_pages_too(spark):
+    offer = "Join our club today and save"
+    box, plain = f"<div class=promo><p>{offer}</p></div>", f"<div>{offer}</div>"
+    article = lambda i, *more: f"<article><p>story number {i}</p><p>quoted by all</p>{''.join(more)}</article>"
+    rows = [
+        (1, "http://h/a/1", article(1) + box),
+        (2, "http://h/a/2", article(2, plain)),  # both neighbours leave the offer out
+        (3, "http://h/a/3", article(3) + box),
+        (4, "http://k/1", f"<nav><p>Home of all things</p></nav>{article(4)}"),
+        (5, "http://k/2", page("Home of all things", "story with no mark, and longer", "quoted by all")),  # a menu in the marked neighbour, a passage of its article
+        (6, "http://l/1", article(6, plain)),
+        (7, "http://l/2", article(7) + box),  # one neighbour alone does not take from a marked article
+        (8, "http://m/1", article(8, plain) + box),
+        (9, "http://m/2", article(9) + box),
+        (10, "http://m/3", article(10, plain) + box),  # a page's own advert is what its neighbours share
+        (2, "http://h/a/2", article("other", plain)),  # another page under a known id
+        (11, "http://n/1", article(11) + box),
+        (12, "http://n/2", article(12, f"<p>{offer}</p>", f"<div><p>{offer}</p></div>")),  # an article that quotes an advert
+        (13, "http://n/3", article(13) + box),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = sorted((r.page_id, r.text) for r in html.extract(df).collect())
+    text = lambda i, *more: (i, "\n".join([f"story number {i}", "quoted by all", *more]))
+    want = [text(1), text(2), (2, "story number other\nquoted by all"), text(3), text(4), (5, "story with no mark, and longer\nquoted by all"), text(6, offer), text(7), text(8, offer), text(9), text(10, offer), text(11), text(12, offer, offer), text(13)]
+    assert got == sorted(want)

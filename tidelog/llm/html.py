@@ -5,16 +5,18 @@ asides, headers and footers of the page, and elements whose class, id or role na
 sidebar or comment) are left out; where a page marks its article or main part, only that counts. Character
 references are decoded, white space inside a block becomes one space.
 
-Then pages are paired: within each host, in order of URL path, each page goes with the neighbour whose path
-shares the longer prefix (the earlier one of equals). The two pages' lines are aligned by longest common
-subsequence, and lines that both have are deleted as the site's template. A pair whose shared lines make up more
+Then all pages are paired: within each host, in order of URL path, each page goes with the neighbour whose path
+shares the longer prefix (the earlier one of equals). The two whole pages, with what structure leaves out, are aligned
+by longest common subsequence, and lines that both have are deleted as the site's template; not lines that the other
+holds in a marked article, which are passages that both quote. A pair whose shared lines make up more
 than COPY of the page's text may be one article at two addresses: there the next nearest page is a witness, and only lines
-that it has too are deleted (none, if that were all lines: then all three are copies). The lines of a marked article are
-the article's own: there, shared lines are passages that two articles quote, and differencing would delete
-article text, so it decides only about pages that mark no article.
+that it has too are deleted (none, if that were all lines: then all three are copies). In a marked article, a shared
+line is deleted if both the partner and the witness leave it out (a menu, notice or advert there) and it stands in a plain
+box; paragraphs, headings, items and cells of a marked article are text, also where others have the line as an advert.
 
 Pairing sorts ids and paths only, over all hosts at once by ranges; the last and the first page of
-neighbouring ranges are matched afterwards. The partner sends its line hashes, not its text.
+neighbouring ranges are matched afterwards. Pages send line hashes, not text; where few pages lose lines, no text is
+moved, and pages are parsed again instead of being kept.
 
 Defined cases. Null or empty html: empty text. Null url, or a host with one page: no partner, structure
 alone. Repeated rows of one page_id: each gets its own row; the id is one page for pairing. Null page_id: no
@@ -37,6 +39,11 @@ from pyspark.sql import functions as F
 from tidelog.llm.scratch import Scratch
 
 COPY = 0.5
+#: Kinds of blocks: of the article (or of the body, where no article is marked), of elements left out, others beside a marked
+#: article, and of boxes in a marked article that are in no element for text.
+ARTICLE, LEFT, BESIDE, BOX = range(4)
+BOXES = {"div", "section"}
+FOR_TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "caption", "figcaption", "blockquote", "pre"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes"}
 LEFT_OUT = RAW | {"head", "nav", "footer", "aside", "form", "button", "select", "template", "svg", "math", "canvas", "object", "audio", "video", "dialog", "menu"}
 BLOCKS = {
@@ -70,31 +77,37 @@ def _left_out(name: str, attrs: str, in_article: bool) -> bool:
 
 def blocks(page: str | None) -> list[str]:
     """Text blocks of a page's article (or of its whole body, where no article is marked), in page order."""
-    return parsed(page)[0]
+    return [text for kind, text in parsed(page)[0] if kind in (ARTICLE, BOX)]
 
 
-def parsed(page: str | None) -> tuple[list[str], bool]:
-    """blocks() of a page, and whether it marks its article."""
+def parsed(page: str | None) -> tuple[list[tuple[int, str]], bool]:
+    """All text blocks of a page with their kinds, in page order, and whether it marks its article."""
     if not page:
         return [], False
-    out: list[tuple[bool, str]] = []  # whether inside the article, text
+    out: list[tuple[int, str]] = []
     parts: list[str] = []
+    left: list[str] = []  # text of elements left out
     open_: list[str] = []  # open elements of interest
     skip: list[str] = []  # open elements below one that is left out
-    article = 0  # depth of article and main
+    article = boxes = for_text = 0  # depth of article and main, of BOXES in these, of FOR_TEXT
     ever = False
 
     def end_block() -> None:
         text = " ".join(references.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            out.append((article > 0, text))
+            out.append((BOX if boxes and not for_text else ARTICLE if article else BESIDE, text))
+
+    def end_left() -> None:
+        text = " ".join(references.unescape("".join(left)).split())
+        left.clear()
+        if text:
+            out.append((LEFT, text))
 
     at, lower = 0, None
     while True:
         m = TAG.search(page, at)
-        if not skip:
-            parts.append(page[at : m.start() if m else len(page)])
+        (left if skip else parts).append(page[at : m.start() if m else len(page)])
         if m is None:
             break
         at = m.end()
@@ -106,6 +119,8 @@ def parsed(page: str | None) -> tuple[list[str], bool]:
         closed_itself = name in VOID
         if m["close"]:
             if skip:
+                if name in BLOCKS or name == skip[0]:
+                    end_left()
                 if name in skip:
                     while skip.pop() != name:
                         pass
@@ -118,17 +133,23 @@ def parsed(page: str | None) -> tuple[list[str], bool]:
             if name in open_:
                 while True:
                     x = open_.pop()
+                    boxes -= article > 0 and x in BOXES
+                    for_text -= x in FOR_TEXT
                     article -= x in ("article", "main")
                     if x == name:
                         break
             continue
         while skip and (skip[-1] in CLOSES.get(name, ()) or (skip[-1] == "p" and name in BLOCKS)):
             skip.pop()  # its end is implied
+        if left and (not skip or name in BLOCKS):
+            end_left()
         if skip:
             if name in RAW:
                 lower = lower or page.lower()
                 end = lower.find(f"</{name}", at)
                 at = len(page) if end < 0 else end
+            elif name == "br":
+                left.append(" ")
             if not closed_itself:
                 skip.append(name)
             continue
@@ -150,9 +171,12 @@ def parsed(page: str | None) -> tuple[list[str], bool]:
         if name in ("article", "main"):
             article += 1
             ever = True
+        boxes += article > 0 and name in BOXES
+        for_text += name in FOR_TEXT
         open_.append(name)
+    end_left()
     end_block()
-    return [text for inside, text in out if inside or not ever], ever
+    return out if ever else [(ARTICLE if kind == BESIDE else kind, text) for kind, text in out], ever
 
 
 def common(a: list, b: list) -> list[bool]:
@@ -182,17 +206,34 @@ def common(a: list, b: list) -> list[bool]:
     return hit
 
 
-def trimmed(lines: list[str], partner: list[int] | None, hashes: list[int], witness: list[int] | None = None) -> list[str]:
-    """Lines without those that the partner shares; where these are most of the page, the witness must share them too."""
-    if not partner or not lines:
-        return lines
-    hit = common(hashes, partner)
-    shared = sum(len(x) for x, h in zip(lines, hit, strict=True) if h)
-    if shared > COPY * sum(map(len, lines)):
-        hit = [x and y for x, y in zip(hit, common(hashes, witness or []), strict=True)]
-        if all(hit):
-            return lines
-    return [x for x, h in zip(lines, hit, strict=True) if not h]
+def shared(own: dict, other: dict) -> list[bool]:
+    """Which lines of a page are another's too, by alignment of the whole pages; not those of the other's marked article, which are text."""
+    text = {x for x, kind in zip(other["hashes"], other["kinds"], strict=True) if kind in (ARTICLE, BOX)} if other["marked"] else set()
+    return [hit and x not in text for x, hit in zip(own["hashes"], common(own["hashes"], other["hashes"]), strict=True)]
+
+
+def left_out(own: dict, other: dict) -> list[bool]:
+    """Which lines of a page another shares and has in elements left out only."""
+    kinds: dict[int, set[int]] = {}
+    for x, kind in zip(other["hashes"], other["kinds"], strict=True):
+        kinds.setdefault(x, set()).add(kind)
+    return [hit and kinds[x] == {LEFT} for x, hit in zip(own["hashes"], shared(own, other), strict=True)]
+
+
+def deleted(own: dict, partner: dict, witness: dict | None) -> list[int]:
+    """Which of a page's article lines (counted among these) are template. Pages are dicts of fields of EXTRACTED."""
+    lines = [i for i, kind in enumerate(own["kinds"]) if kind in (ARTICLE, BOX)]
+    if own["marked"]:  # its elements for text stand, and boxes that not both others leave out
+        hit = left_out(own, partner)
+        if any(hit):
+            hit = [x and y for x, y in zip(hit, left_out(own, witness), strict=True)] if witness else []
+        return [k for k, i in enumerate(lines) if hit and hit[i] and own["kinds"][i] == BOX]
+    hit, sizes = shared(own, partner), own["sizes"]
+    if sum(sizes[i] for i in lines if hit[i]) > COPY * sum(sizes[i] for i in lines):
+        hit = [x and y for x, y in zip(hit, shared(own, witness), strict=True)] if witness else [False] * len(hit)
+        if all(hit[i] for i in lines):
+            return []
+    return [k for k, i in enumerate(lines) if hit[i]]
 
 
 def _hash(line: str) -> int:
@@ -201,26 +242,39 @@ def _hash(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line) - (1 << 63)
 
 
-EXTRACTED = "page_id long, url string, host string, path string, marked boolean, hashes array<long>, packed binary"
+EXTRACTED = "page_id long, host string, path string, marked boolean, hashes array<long>, kinds binary, sizes array<int>, sign long"
+
+
+def _sign(marked: bool, kinds: bytes, hashes: list[int]) -> int:
+    """Tells pages of one id apart."""
+    return _hash(repr((marked, kinds, hashes)))
+
+
+def _lines(page: str | None) -> tuple[list[str], bytes, list[int], bool]:
+    """Lines of a page, their kinds and hashes, and whether it marks its article."""
+    found, marked = parsed(page)
+    lines = [x for _, x in found]
+    return lines, bytes(kind for kind, _ in found), [_hash(x) for x in lines], marked
 
 
 def extracted(pages: DataFrame) -> DataFrame:
-    """EXTRACTED rows: host and path of the URL, hashes of the page's lines and the lines, compressed."""
+    """EXTRACTED rows: host and path of the URL, hashes, kinds and sizes of all the page's lines; no text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
-                found = [parsed(x) for x in part.column("html").to_pylist()]
-                lines, marked = [x for x, _ in found], pa.array([x for _, x in found], pa.bool_())
+                found = [_lines(x) for x in part.column("html").to_pylist()]
                 places = [re.match(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::\d*)?([^?#]*)", u or "") for u in part.column("url").to_pylist()]
                 hosts = [m and m[1].lower() or None for m in places]
                 paths = [m and re.sub(r"(?:/|\.html?|\.php)$", "", m[2]) for m in places]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("page_id"), part.column("url"), pa.array(hosts, pa.string()), pa.array(paths, pa.string()), marked, pa.array([[_hash(x) for x in y] for y in lines], pa.list_(pa.int64())), pa.array([press.compress("\n".join(y).encode()) for y in lines], pa.binary())],
+                    [
+                        part.column("page_id"), pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array([x[3] for x in found], pa.bool_()), pa.array([x[2] for x in found], pa.list_(pa.int64())),
+                        pa.array([x[1] for x in found], pa.binary()), pa.array([[len(y) for y in x[0]] for x in found], pa.list_(pa.int32())), pa.array([_sign(x[3], x[1], x[2]) for x in found], pa.int64()),
+                    ],
                     [x.split()[0] for x in EXTRACTED.split(", ")],
-                )
+                )
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, EXTRACTED)
 
@@ -309,30 +363,60 @@ def partners(pages: DataFrame, scratch: Scratch) -> DataFrame:
     return table.mapInArrow(choose, "page_id long, partner long, witness long").where("partner is not null")
 
 
+def templates(table: DataFrame, scratch: Scratch) -> DataFrame:
+    """page_id, sign, dropped: for pages of EXTRACTED rows that lose lines, which of their article lines."""
+    pairs = partners(table, scratch)
+    whole = table.where("page_id is not null and size(hashes) > 0")
+    sent = F.struct("hashes", "kinds", "marked")
+    lines = whole.groupBy(F.col("page_id").alias("of")).agg(F.min_by(sent, "sign").alias("sent"))
+    theirs = pairs.join(lines, F.col("partner") == F.col("of")).select(F.col("page_id").alias("p"), F.col("sent").alias("theirs"), "witness")
+    theirs = theirs.join(lines, F.col("witness") == F.col("of"), "left").select("p", "theirs", F.col("sent").alias("third"))
+    asked = whole.groupBy("page_id", "sign").agg(F.first(F.struct("hashes", "kinds", "marked", "sizes")).alias("own"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, signs, dropped = [], [], []
+            for page, sign, own, *around in zip(*(batch.column(c).to_pylist() for c in ("page_id", "sign", "own", "theirs", "third")), strict=True):
+                if out := deleted(own, *around):
+                    ids.append(page)
+                    signs.append(sign)
+                    dropped.append(out)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(signs, pa.int64()), pa.array(dropped, pa.list_(pa.int32()))], ["page_id", "sign", "dropped"])
+
+    return asked.join(theirs, F.col("page_id") == F.col("p")).select("page_id", "sign", "own", "theirs", "third").mapInArrow(run, "page_id long, sign long, dropped array<int>")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text for every row of pages."""
     scratch = Scratch(pages.sparkSession)
     table = scratch.save(extracted(pages), "lines")
-    pairs = partners(table, scratch)
-    lines = table.where("page_id is not null and size(hashes) > 0").select(F.col("page_id").alias("of"), "hashes").dropDuplicates(["of"])
-    asked = table.where("not marked").select("page_id").distinct()
-    theirs = pairs.join(asked, "page_id", "left_semi").join(lines, F.col("partner") == F.col("of")).select(F.col("page_id").alias("p"), F.col("hashes").alias("theirs"), "witness")
-    theirs = theirs.join(lines, F.col("witness") == F.col("of"), "left").select("p", "theirs", F.col("hashes").alias("third"))
+    lost = scratch.save(templates(table, scratch), "templates")
+    scratch.drop(table)
+    scratch.release()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for first in range(0, batch.num_rows, 500):
+                part = batch.slice(first, 500)
+                signs, packed = [], []
+                for lines, kinds, hashes, marked in map(_lines, part.column("html").to_pylist()):
+                    signs.append(_sign(marked, kinds, hashes))
+                    packed.append(press.compress("\n".join(x for x, kind in zip(lines, kinds, strict=True) if kind in (ARTICLE, BOX)).encode()))
+                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(signs, pa.int64()), pa.array(packed, pa.binary())], ["page_id", "url", "sign", "packed"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         un = zstandard.ZstdDecompressor()
         for batch in batches:
             texts = []
-            for packed, own, other, third in zip(*(batch.column(c).to_pylist() for c in ("packed", "hashes", "theirs", "third")), strict=True):
-                raw = un.decompress(packed) if len(own) else b""
-                texts.append("\n".join(trimmed(raw.decode().split("\n"), other, own, third)) if own else "")
+            for packed, dropped in zip(batch.column("packed").to_pylist(), batch.column("dropped").to_pylist(), strict=True):
+                text, gone = un.decompress(packed).decode() if packed else "", set(dropped or ())
+                texts.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone) if gone else text)
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    columns = ("page_id", "url", "packed", "hashes")
-    none = F.lit(None).cast("array<long>")
-    alone = table.where("marked").select(*columns, none.alias("theirs"), none.alias("third"))  # needs no partner, nor a shuffle
-    joined = table.where("not marked").join(theirs, F.col("page_id") == F.col("p"), "left").select(*columns, "theirs", "third")
-    return alone.unionByName(joined).mapInArrow(run, "page_id long, url string, text string")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(read, "page_id long, url string, sign long, packed binary")
+    found = rows.join(lost, ["page_id", "sign"], "left").select("page_id", "url", "packed", "dropped")  # few pages lose lines: then no page is moved
+    return found.mapInArrow(write, "page_id long, url string, text string")
 
 
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
